@@ -5,28 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLANKS = " \t\r\n\f\x0b"
-# Text a strict reader accepts as a number. Spark's own cast is laxer (it takes "1.5d").
-_FLOAT_TEXT = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
-_INT_TEXT = r"^[+-]?\d+$"
-
-
-def strip(text: Column) -> Column:
-    return F.trim(text, F.lit(_BLANKS))
+# Text a strict reader accepts as a number, blanks around it aside. Spark's own cast ignores
+# those blanks too, but is laxer otherwise (it takes "1.5d").
+_BLANK_TEXT = r"^\s*$"
+_FLOAT_TEXT = r"^\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+_INT_TEXT = r"^\s*[+-]?\d+\s*$"
 
 
 def float_or_zero(text: Column) -> Column:
     """Blank is 0.0; a number is itself; anything else is NULL."""
-    bare = strip(text)
-    return F.when(bare == "", F.lit(0.0)).when(
-        bare.rlike(_FLOAT_TEXT), bare.try_cast("double")
+    return F.when(text.rlike(_FLOAT_TEXT), text.try_cast("double")).when(
+        text.rlike(_BLANK_TEXT), F.lit(0.0)
     )
 
 
 def strict_int(text: Column, kind: str = "int") -> Column:
     """Whole-number text only: "11298.0" and blank are NULL."""
-    bare = strip(text)
-    return F.when(bare.rlike(_INT_TEXT), bare.try_cast(kind))
+    return F.when(text.rlike(_INT_TEXT), text.try_cast(kind))
 
 
 def lenient_int(text: Column, kind: str = "int") -> Column:

@@ -42,4 +42,4 @@ def stamp(ms: Column) -> Column:
 
 
 def stamp_to_ms(text: Column) -> Column:
-    return F.unix_millis(F.to_timestamp(text, F.lit(STAMP)))
+    return F.unix_millis(F.to_timestamp(text, STAMP))

@@ -22,13 +22,21 @@ def list_files(spark: SparkSession, path: str, glob: str) -> list[str]:
     return sorted(row.path for row in files.collect())
 
 
-def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+def _layouts(
+    spark: SparkSession, files: list[str], header_per: str
+) -> dict[tuple[str, ...], list[str]]:
     """Files grouped by their header, so that one scan reads all files of a layout."""
-    with ThreadPool(min(16, len(files))) as pool:
-        headers = pool.map(lambda f: tuple(spark.read.option("header", True).csv(f).columns), files)
+    groups: dict[str, list[str]] = {}
+    for file in files:
+        groups.setdefault(file if header_per == "file" else file.rsplit("/", 1)[0], []).append(file)
+    members = list(groups.values())
+    with ThreadPool(min(16, len(members))) as pool:
+        headers = pool.map(
+            lambda group: tuple(spark.read.option("header", True).csv(group[0]).columns), members
+        )
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files):
-        layouts.setdefault(header, []).append(file)
+    for header, group in zip(headers, members):
+        layouts.setdefault(header, []).extend(group)
     return layouts
 
 
@@ -38,11 +46,15 @@ def _typed(header: tuple[str, ...], known: T.StructType) -> T.StructType:
 
 
 def read_monthly(
-    spark: SparkSession, directory: str, glob: str = "2025*.csv", with_source: bool = True
+    spark: SparkSession, directory: str, glob: str = "2025*.csv", with_source: bool = True,
+    header_per: str = "file",
 ) -> DataFrame:
     """UNION ALL, by column name, of the monthly files; columns a file lacks are NULL.
 
     Fails when no file matches. Each row carries its source place unless told otherwise.
+    Headers are looked up per file, which suits a file per month. Where a month is a folder of
+    many parts, header_per="folder" looks at one part of each; in both cases Spark compares
+    every file's header while reading and fails on a difference.
     """
     files = list_files(spark, directory, glob)
     if not files:
@@ -55,8 +67,11 @@ def read_monthly(
         ]
     )
     months: DataFrame | None = None
-    for header, paths in _headers(spark, files).items():
-        scan = spark.read.option("header", True).schema(_typed(header, known)).csv(paths)
+    for header, paths in _layouts(spark, files, header_per).items():
+        scan = (
+            spark.read.option("header", True).option("enforceSchema", False)
+            .schema(_typed(header, known)).csv(paths)
+        )
         wanted = [field.name for field in MONTHLY if field.name in header]
         place = [
             F.col("_metadata.file_path").alias("src_file"),

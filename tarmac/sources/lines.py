@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.numbers import float_or_zero, lenient_int, number_or_zero, strict_int, strip
+from tarmac.functions.numbers import float_or_zero, lenient_int, strict_int
 from tarmac.schema import EVENTS
 from tarmac.settings import DEFAULTS, Settings
 
@@ -16,10 +16,23 @@ END_MS = 253_370_764_800_000  # 9999-01-01
 
 
 def _split(lines: DataFrame) -> DataFrame:
-    """Cut the line ends and split; shorter lines are dropped, extra fields kept."""
-    return lines.select(F.split(strip(F.col("value")), ",").alias("f")).where(
-        F.size("f") >= WIDTH
-    )
+    """The fields of each line; shorter lines are dropped, extra fields kept.
+
+    Blanks at the line ends stay: they can only touch number fields, which ignore them.
+    """
+    parts = F.split("value", ",")
+    return lines.select(F.explode(F.array(parts)).alias("f")).where(F.size("f") >= WIDTH)
+
+
+def _convert(parts: DataFrame, columns: dict[str, Column], needed: list[str]) -> DataFrame:
+    """Convert each line once and keep those whose needed fields are readable.
+
+    The conversion is a one-row generator, as is the split above. A filter on plain projected
+    columns would move below the projection with a copy of every conversion, and of the split,
+    for each column it tests: many times the work per line.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return parts.select(F.inline(F.array(row))).dropna(subset=needed)
 
 
 def _field(name: str) -> Column:
@@ -28,7 +41,12 @@ def _field(name: str) -> Column:
 
 def _seq() -> Column:
     """A field after the fixed ones may carry the flight's place in the stream."""
-    return strict_int(F.get("f", F.lit(WIDTH)), "bigint").alias("seq")
+    return strict_int(F.get("f", F.lit(WIDTH)), "bigint")
+
+
+def _flag(name: str) -> Column:
+    """A flag that reads "nan" is not set (Spark would order NaN above 1)."""
+    return F.nanvl(float_or_zero(_field(name)), F.lit(0.0))
 
 
 def parse_carrier_flights(
@@ -36,17 +54,16 @@ def parse_carrier_flights(
 ) -> DataFrame:
     """Flights of the reported carriers; lines with an unreadable number are dropped."""
     wanted = [*settings.carriers, END_CARRIER] if keep_end else list(settings.carriers)
-    flights = _split(lines).where(_field("OP_UNIQUE_CARRIER").isin(wanted)).select(
-        _field("OP_UNIQUE_CARRIER").alias("carrier"),
-        float_or_zero(_field("DEP_DELAY")).alias("dep_delay"),
-        float_or_zero(_field("CANCELLED")).alias("cancelled"),
-        float_or_zero(_field("DIVERTED")).alias("diverted"),
-        strict_int(_field("event_time"), "bigint").alias("event_time"),
-        _seq(),
-    )
-    return _settle_flags(
-        flights.dropna(subset=["dep_delay", "cancelled", "diverted", "event_time"])
-    )
+    parts = _split(lines).where(_field("OP_UNIQUE_CARRIER").isin(wanted))
+    columns = {
+        "carrier": _field("OP_UNIQUE_CARRIER"),
+        "dep_delay": float_or_zero(_field("DEP_DELAY")),
+        "cancelled": _flag("CANCELLED"),
+        "diverted": _flag("DIVERTED"),
+        "event_time": strict_int(_field("event_time"), "bigint"),
+        "seq": _seq(),
+    }
+    return _convert(parts, columns, ["dep_delay", "cancelled", "diverted", "event_time"])
 
 
 def parse_airport_flights(lines: DataFrame, keep_end: bool = False) -> DataFrame:
@@ -54,21 +71,17 @@ def parse_airport_flights(lines: DataFrame, keep_end: bool = False) -> DataFrame
     parts = _split(lines)
     if not keep_end:
         parts = parts.where(_field("OP_UNIQUE_CARRIER") != END_CARRIER)
-    flights = parts.select(
-        strict_int(_field("ORIGIN_AIRPORT_ID")).alias("origin"),
-        _field("OP_UNIQUE_CARRIER").alias("carrier"),
-        strict_int(_field("DEST_AIRPORT_ID")).alias("dest"),
-        float_or_zero(_field("DEP_DELAY")).alias("dep_delay"),
-        float_or_zero(_field("CANCELLED")).alias("cancelled"),
-        float_or_zero(_field("DIVERTED")).alias("diverted"),
-        strict_int(_field("event_time"), "bigint").alias("event_time"),
-        _seq(),
-    )
-    flights = _settle_flags(
-        flights.dropna(
-            subset=["origin", "dest", "dep_delay", "cancelled", "diverted", "event_time"]
-        )
-    )
+    columns = {
+        "origin": strict_int(_field("ORIGIN_AIRPORT_ID")),
+        "carrier": _field("OP_UNIQUE_CARRIER"),
+        "dest": strict_int(_field("DEST_AIRPORT_ID")),
+        "dep_delay": float_or_zero(_field("DEP_DELAY")),
+        "cancelled": _flag("CANCELLED"),
+        "diverted": _flag("DIVERTED"),
+        "event_time": strict_int(_field("event_time"), "bigint"),
+        "seq": _seq(),
+    }
+    flights = _convert(parts, columns, [n for n in columns if n not in ("carrier", "seq")])
     return flights.where((F.col("cancelled") < 1.0) & (F.col("diverted") < 1.0)).drop(
         "cancelled", "diverted"
     )
@@ -76,25 +89,16 @@ def parse_airport_flights(lines: DataFrame, keep_end: bool = False) -> DataFrame
 
 def parse_events(lines: DataFrame) -> DataFrame:
     """All 17 columns, typed leniently: "11298.0" is a whole number, blank is 0."""
-    columns = []
+    columns = {}
     for field in EVENTS:
-        text = _field(field.name)
-        kind = field.dataType.simpleString()
+        text, kind = _field(field.name), field.dataType.simpleString()
         if kind == "string":
-            column = text
+            columns[field.name] = text
         elif kind == "double":
-            column = float_or_zero(text)
+            columns[field.name] = float_or_zero(text)
         else:
-            column = lenient_int(text, kind)
-        columns.append(column.alias(field.name))
-    return _split(lines).select(*columns)
-
-
-def _settle_flags(flights: DataFrame) -> DataFrame:
-    """A flag that reads "nan" is not set (Spark would order NaN above 1)."""
-    return flights.withColumns(
-        {name: number_or_zero(F.col(name)) for name in ("cancelled", "diverted")}
-    )
+            columns[field.name] = lenient_int(text, kind)
+    return _split(lines).select(*[column.alias(name) for name, column in columns.items()])
 
 
 def to_lines(events: DataFrame, seq: str | None = "seq") -> DataFrame:
@@ -108,7 +112,7 @@ def end_line(spark: SparkSession) -> DataFrame:
     """The line that closes every open window of a bounded replay."""
     # YEAR..DAY, carrier, origin, dest, CRS_DEP_TIME, then nine numbers, event_time.
     value = ",".join(["9999", "1", "1", END_CARRIER, "-1", "-1", "0", *["0"] * 9, str(END_MS)])
-    return spark.range(1).select(F.lit(value).alias("value"))
+    return spark.range(0, 1, 1, 1).select(F.lit(value).alias("value"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

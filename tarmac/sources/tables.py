@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schema import MONTHLY
+from tarmac.schema import EVENTS, MONTHLY
 from tarmac.session import use_utc
 
 # Fixed values of the projection (the SQL checks use the same ones).
@@ -66,3 +66,35 @@ def table_monthly(flights: DataFrame) -> DataFrame:
         *[columns.get(name, blank).alias(name) for name in MONTHLY.fieldNames()],
         "seq", "event_time",
     )
+
+
+def damaged_lines(flights: DataFrame) -> DataFrame:
+    """The flights as event lines, with the lines of some destinations damaged in one way each.
+
+    20002 an unreadable delay, 20003 one field short, 20004 more fields than needed, 20005 a
+    fractional airport id, 20006 a blank cancellation flag, 20007 blanks around the line,
+    20008 a fractional event time, 20009 blanks around the delay, 20010 a Java-only number.
+    """
+    names = EVENTS.fieldNames()
+    texts = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names}
+    dest = F.col("DEST_AIRPORT_ID")
+
+    def damage(where: int, name: str, text) -> None:
+        texts[name] = F.when(dest == where, text).otherwise(texts[name])
+
+    delay, time = texts["DEP_DELAY"], texts["event_time"]
+    damage(20002, "DEP_DELAY", F.lit("abc"))
+    damage(20005, "ORIGIN_AIRPORT_ID", F.concat(texts["ORIGIN_AIRPORT_ID"], F.lit(".0")))
+    damage(20006, "CANCELLED", F.lit(""))
+    damage(20008, "event_time", F.concat(time, F.lit(".0")))
+    damage(20009, "DEP_DELAY", F.concat(F.lit(" "), delay, F.lit("\t")))
+    damage(20010, "DEP_DELAY", F.concat(delay, F.lit("d")))
+    fields = F.array(*[texts[name] for name in names], F.col("seq").cast("string"))
+    line = F.array_join(
+        F.when(dest == 20003, F.slice(fields, 1, len(names) - 1))
+        .when(dest == 20004, F.concat(fields, F.array(F.lit("more"), F.lit(""))))
+        .otherwise(fields),
+        ",",
+    )
+    line = F.when(dest == 20007, F.concat(F.lit("  "), line, F.lit("\r"))).otherwise(line)
+    return table_monthly(flights).select(line.alias("value"))

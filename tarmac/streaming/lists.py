@@ -48,7 +48,10 @@ def worst_flights_stream(
         tumbling(step_ms).alias("window"),
         F.lit(step_ms).cast("bigint").alias("step"),
         "origin", share.cast("int").alias("share"), *_FLIGHT,
-    ).withColumn("ws", F.unix_millis("window.start"))
+    ).withColumns(
+        # Lines without a place in the stream take their event time for it.
+        {"ws": F.unix_millis("window.start"), "seq": F.coalesce("seq", "event_time")}
+    )
 
     def keep(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         origin, ws, _, step = (int(part) for part in key)

@@ -34,7 +34,8 @@ def _date_in_order(spark: SparkSession, path: str) -> None:
     parts = sorted(
         (status.getPath() for status in files.listStatus(folder)
          if status.getPath().getName().startswith("part-")),
-        key=lambda part: part.getName(),
+        # Part numbers have five digits or more, so longer names come later.
+        key=lambda part: (len(part.getName()), part.getName()),
     )
     first = int(time.time() * 1000) - 1000 * len(parts)
     for nth, part in enumerate(parts):
