@@ -340,6 +340,6 @@ QUERIES = {
     "stream_q1_late": stream_q1_late,
     **{f"stream_q2_preagg_{size}": stream_preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": stream_q2_top_airports_6h,
-    "stream_q2_top20_120d": stream_q2_top20_6h,
+    "stream_q2_top20_120d": stream_q2_top20_120d,
     "stream_then_post_6h": stream_then_post_6h,
 }
