@@ -15,7 +15,7 @@ def gather(worst: DataFrame, keys: list[str]) -> DataFrame:
     """One array per key, ordered by place; the rows must be trimmed to a short list already."""
     flight = F.struct("place", "carrier", "dest", "dep_delay", "minutes")
     return (
-        worst.withColumn("minutes", two_decimals(F.col("dep_delay")))
+        worst.withColumn("minutes", two_decimals("dep_delay"))
         .groupBy(*keys).agg(F.sort_array(F.collect_list(flight)).alias("delayed"))
     )
 

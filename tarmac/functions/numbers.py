@@ -43,24 +43,26 @@ def percent(part: Column, whole: Column) -> Column:
     return ratio(part, whole) * F.lit(100.0)
 
 
-def two_decimals(value: Column) -> Column:
-    """Text with two decimals, rounded from the exact binary value, ties to even.
+def two_decimals(name: str) -> Column:
+    """The named column as text with two decimals, rounded from its exact binary value.
 
-    Spark's own formatting rounds the shortest decimal half-up (0.125 -> 0.13, 2.675 -> 2.68);
-    printf-style output is 0.12 and 2.67. The product value * 100 is kept as head + tail without
-    error (the tail from a Dekker split of the value), so the rounding sees the exact number.
+    Ties go to even, as printf does: 0.125 is 0.12 and 2.675 is 2.67, where Spark's own formatting
+    rounds the shortest decimal half-up (0.13 and 2.68). size * 100 is kept as head + tail without
+    error (the tail from a Dekker split of the size), so the rounding sees the exact number.
     Values of 1e13 and more have no such room to spare and are far outside any delay.
     """
-    size = F.abs(value.cast("double"))
-    spread = size * F.lit(134217729.0)
-    high = spread - (spread - size)
-    low = size - high
-    head = size * F.lit(100.0)
-    tail = (high * F.lit(100.0) - head) + low * F.lit(100.0)
-    floor = F.floor(head).cast("double")
-    rest = head - floor
-    odd = F.pmod(floor, F.lit(2.0)) == 1.0
-    up = (rest > 0.5) | ((rest == 0.5) & ((tail > 0.0) | ((tail == 0.0) & odd)))
-    cents = F.when(up, floor + 1.0).otherwise(floor) / F.lit(100.0)
-    sign = F.when(value < 0.0, F.lit("-")).otherwise(F.lit(""))
-    return F.concat(sign, F.format_string("%.2f", cents))
+    size = f"abs({name})"
+    spread = f"({size} * 134217729D)"
+    high = f"({spread} - ({spread} - {size}))"
+    head = f"({size} * 100D)"
+    tail = f"(({high} * 100D - {head}) + ({size} - {high}) * 100D)"
+    whole = f"floor({head})"
+    rest = f"({head} - {whole})"
+    up = (
+        f"{rest} > 0.5D OR ({rest} = 0.5D AND "
+        f"({tail} > 0D OR ({tail} = 0D AND pmod({whole}, 2) = 1)))"
+    )
+    return F.expr(
+        f"concat(if({name} < 0D, '-', ''), "
+        f"format_string('%.2f', if({up}, {whole} + 1, {whole}) / 100D))"
+    ).alias(name)

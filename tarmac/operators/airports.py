@@ -64,20 +64,78 @@ def airport_stats(
     )
 
 
+def stats_for_spans(
+    flights: DataFrame, spans: dict[str, int | None], settings: Settings = DEFAULTS
+) -> DataFrame:
+    """airport_stats of several window lengths at once, from one pass over the events.
+
+    The shortest window is aggregated from the flights; the longer ones, which must be multiples
+    of it, and the whole dataset (None) add up its rows. `slot` is the window's start, or 0 for
+    the whole dataset, whose bounds are only known in the end.
+    """
+    base = min(step for step in spans.values() if step is not None)
+    if any(step is not None and step % base for step in spans.values()):
+        raise ValueError("longer windows must be multiples of the shortest")
+    hours = (
+        flights.withColumn("slot", bucket_start(F.col("event_time"), base))
+        .groupBy("slot", "origin")
+        .agg(
+            *airport_measures(settings),
+            F.min("event_time").alias("first_ms"),
+            F.max("event_time").alias("last_ms"),
+        )
+    )
+    added = hours.withColumn("s", F.explode(in_spans(F.col("slot"), spans))).groupBy(
+        "s.span", "s.slot", "origin"
+    ).agg(
+        *[F.sum(n).alias(n) for n in ("num", "severe", "sum_delay")],
+        F.max("max_delay").alias("max_delay"),
+        *[F.min(n).alias(n) for n in ("first_seq", "first_ms")],
+        F.max("last_ms").alias("last_ms"),
+    )
+    window = Window.partitionBy("span", "slot")
+    length = F.create_map(
+        *[F.lit(x) for name, step in spans.items() if step for x in (name, step)]
+    )[F.col("span")].cast("bigint")
+    bounds = {
+        "ws": F.when(length.isNull(), F.min("first_ms").over(window)).otherwise(F.col("slot")),
+        "we": F.coalesce(
+            F.col("slot") + length, F.max("last_ms").over(window) + F.lit(1).cast("bigint")
+        ),
+    }
+    return added.withColumns(bounds).drop("first_ms", "last_ms")
+
+
+def in_spans(ms: Column, spans: dict[str, int | None]) -> Column:
+    """The (span, slot) pairs a point in time belongs to, one per span."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("span"),
+                (F.lit(0).cast("bigint") if step is None else bucket_start(ms, step)).alias("slot"),
+            )
+            for name, step in spans.items()
+        ]
+    )
+
+
 def rank_airports(
-    stats: DataFrame, settings: Settings = DEFAULTS, ties: str = "arrival"
+    stats: DataFrame, settings: Settings = DEFAULTS, ties: str = "arrival",
+    window=("ws", "we"), min_flights: Column | None = None,
 ) -> DataFrame:
     """The top airports of each window: most severe delays first, then most flights.
 
     Equal airports rank by their first flight in the stream ("arrival") or by id ("airport").
     Windows hold one row per airport, and the rank limit is applied before the shuffle too.
+    `min_flights` may set the least number of flights row by row.
     """
     order = [F.desc("severe"), F.desc("num")]
     if ties == "arrival":
         order.append(F.asc_nulls_last("first_seq"))
-    per_window = Window.partitionBy("ws", "we").orderBy(*order, F.asc("origin"))
+    per_window = Window.partitionBy(*window).orderBy(*order, F.asc("origin"))
+    least = F.lit(settings.min_flights) if min_flights is None else min_flights
     return (
-        stats.where(F.col("num") >= settings.min_flights)
+        stats.where(F.col("num") >= least)
         .withColumn("rank", F.row_number().over(per_window))
         .where(F.col("rank") <= settings.top_k)
     )

@@ -54,4 +54,4 @@ def hourly_carrier_stats(
 def carrier_text(report: DataFrame) -> DataFrame:
     """The report as published: means and rates as two-decimal text."""
     rounded = ("dep_delay_mean", "cancellation_rate", "late_departure_rate")
-    return report.withColumns({name: two_decimals(F.col(name)) for name in rounded})
+    return report.withColumns({name: two_decimals(name) for name in rounded})

@@ -305,6 +305,9 @@ SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
     **{f"q2_top_airports_{size}": top_airports(size) for size in SIZES},
     **{f"q2_delayed_flights_{size}": delayed(size) for size in SIZES},
     **{f"q2_report_{size}": report(size) for size in SIZES},
+    "q2_reports_all": " UNION ALL ".join(
+        f"SELECT *, '{size}' AS span FROM ({report(size)})" for size in SIZES
+    ),
     "q2_delayed_list_text": DELAYED_LIST_TEXT,
     **{f"q2_preagg_{size}": preagg(size) for size in WINDOWS_MS},
     "q2_preagg_top20_text": PREAGG_TOP20_TEXT,

@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.lists import bracketed, piped
+from tarmac.functions.times import stamp
 from tarmac.operators.airports import (
     airport_stats,
+    in_spans,
     preagg_report,
     rank_airports,
     ranking_report,
+    stats_for_spans,
     with_window,
 )
 from tarmac.operators.flights import flown, is_severe
 from tarmac.operators.worst import attach_lists, delayed_lists, of_winners, worst_flights
-from tarmac.functions.times import stamp
 from tarmac.session import settle
 from tarmac.settings import DEFAULTS, Settings
 
@@ -72,6 +74,33 @@ def airport_report(
     return ranking_report(filled, bracketed(F.col("delayed")).alias("delayed_flights"))
 
 
+def airport_reports(
+    flights: DataFrame, spans: dict[str, int | None], settings: Settings = DEFAULTS,
+    min_flights: dict[str, int] | None = None,
+) -> DataFrame:
+    """The full reports of several windows, told apart by `span`.
+
+    Two passes over the events whatever the number of windows: one for the statistics of the
+    shortest window, which the others add up, and one for the flights behind the ranks.
+    """
+    least = None
+    if min_flights:
+        pairs = [F.lit(x) for pair in min_flights.items() for x in pair]
+        least = F.coalesce(F.create_map(*pairs)[F.col("span")], F.lit(settings.min_flights))
+    keys = ["span", "slot", "origin"]
+    stats = stats_for_spans(flown(flights), spans, settings)
+    ranked = settle(
+        rank_airports(stats, settings, window=("span", "slot"), min_flights=least)
+    )
+    severe = severe_flights(flights, settings)
+    severe = severe.withColumn("s", F.explode(in_spans(F.col("event_time"), spans))).select(
+        *severe.columns, "s.span", "s.slot"
+    )
+    worst = worst_flights(of_winners(severe, ranked, keys), settings, keys=keys)
+    filled = attach_lists(ranked, delayed_lists(worst, keys), keys)
+    return ranking_report(filled, bracketed(F.col("delayed")).alias("delayed_flights"), "span")
+
+
 def airport_preagg(flights: DataFrame, step_ms: int, settings: Settings = DEFAULTS) -> DataFrame:
     """The per-(window, airport) pre-aggregate: seven plain columns."""
     return preagg_report(airport_stats(flown(flights), step_ms, settings))

@@ -27,6 +27,7 @@ from tarmac.plans.airports import (
     airport_preagg_lists,
     airport_ranking,
     airport_report,
+    airport_reports,
     delayed_flights,
 )
 from tarmac.plans.postprocess import flights_in_windows, ranking_from_preagg, report_from_preagg
@@ -97,6 +98,12 @@ def full_report(size: str):
     )
 
 
+def all_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The three reports in one go."""
+    reports = airport_reports(table_flights(spark, folder), STEPS, DEFAULTS, MIN_FLIGHTS)
+    return ranking_text(reports)
+
+
 def delayed_list_text(spark: SparkSession, folder: str) -> DataFrame:
     """Every airport with flights in the window gets a list, the empty ones too."""
     return airport_report(
@@ -318,6 +325,7 @@ QUERIES = {
     **{f"q2_top_airports_{size}": top_airports(size) for size in STEPS},
     **{f"q2_delayed_flights_{size}": delayed(size) for size in STEPS},
     **{f"q2_report_{size}": full_report(size) for size in STEPS},
+    "q2_reports_all": all_reports,
     "q2_delayed_list_text": delayed_list_text,
     **{f"q2_preagg_{size}": preagg(size) for size in WINDOWS_MS},
     "q2_preagg_top20_text": preagg_top20_text,

@@ -35,7 +35,7 @@ def write_event_table(events: DataFrame, path: str) -> None:
 def ranking_text(report: DataFrame) -> DataFrame:
     """The ranking as published: mean and maximum as two-decimal text."""
     rounded = ("dep_delay_mean", "dep_delay_max")
-    return report.withColumns({name: two_decimals(F.col(name)) for name in rounded})
+    return report.withColumns({name: two_decimals(name) for name in rounded})
 
 
 def write_ranking(report: DataFrame, path: str, single_file: bool = False) -> None:
@@ -53,7 +53,7 @@ def write_ranking(report: DataFrame, path: str, single_file: bool = False) -> No
 def preagg_lines(preagg: DataFrame) -> DataFrame:
     """Pre-aggregate rows as lines: the seven fields, then the list text where there is one."""
     texts = [
-        two_decimals(F.col(name)) if name in ("sum_delay", "max_delay") else F.col(name)
+        two_decimals(name) if name in ("sum_delay", "max_delay") else F.col(name)
         for name in PREAGG.fieldNames()
     ]
     if "top_str" in preagg.columns:
@@ -65,8 +65,8 @@ def write_preagg(preagg: DataFrame, path: str) -> None:
     """Part files named .csv, one line per (window, airport), no header."""
     preagg.select(
         *[F.col(name) for name in preagg.columns if name not in ("sum_delay", "max_delay")],
-        two_decimals(F.col("sum_delay")).alias("sum_delay"),
-        two_decimals(F.col("max_delay")).alias("max_delay"),
+        two_decimals("sum_delay"),
+        two_decimals("max_delay"),
     ).select(*preagg.columns).write.csv(path)
 
 

@@ -29,7 +29,8 @@ def test_two_decimals_matches_printf(spark):
     values += [rng.randint(-5000, 500000) / rng.randint(1, 3000) for _ in range(3000)]
     values += [rng.randint(-10**6, 10**6) / 1000 for _ in range(3000)]
     values += [rng.randint(-(2**20), 2**20) / 1024 for _ in range(3000)]
-    assert column(spark, values, "double", two_decimals) == [f"{v:.2f}" for v in values]
+    got = column(spark, values, "double", lambda _: two_decimals("v"))
+    assert got == [f"{v:.2f}" for v in values]
 
 
 def test_float_text(spark):
