@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.session import settle
 from tarmac.settings import DAY_MS
 
 
@@ -19,37 +20,42 @@ def with_position(
     numbered in one task: a busy minute spreads over as many tasks as it has pieces.
 
     Offsets add up in levels (day, time, piece), so each running sum covers one level only; the
-    single-task one has a row per day.
+    single-task one has a row per day. The counts are settled, as all levels start from them:
+    one pass over a few columns for the counts and one over the rows. Rows without a time come
+    last.
     """
-    day = F.floor(F.col(time) / F.lit(DAY_MS))
-    pieces = rows.groupBy(time, *blocks).agg(F.count("*").alias("n")).withColumn("day", day)
-    before = lambda w: F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    zero = F.lit(0).cast("bigint")
+    at = F.coalesce(F.col(time), F.lit(2**63 - 1)).cast("bigint")
+    keyed = rows.withColumn("at", at)
+    pieces = settle(
+        keyed.groupBy("at", *blocks).agg(F.count("*").alias("n"))
+        .withColumn("day", F.floor(F.col("at") / F.lit(DAY_MS)))
+    )
+
+    def before(window) -> Column:
+        """What comes before in the window, from 0."""
+        running = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(running, F.lit(0).cast("bigint"))
 
-    times = pieces.groupBy("day", time).agg(F.sum("n").alias("n"))
-    days = times.groupBy("day").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
+    times = pieces.groupBy("day", "at").agg(F.sum("n").alias("n"))
+    days = pieces.groupBy("day").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
     day_start = days.select(
-        "day",
-        F.coalesce(before(Window.partitionBy("all").orderBy("day")), zero).alias("day_start"),
+        "day", before(Window.partitionBy("all").orderBy("day")).alias("day_start")
     )
     time_start = times.select(
-        "day", time,
-        F.coalesce(before(Window.partitionBy("day").orderBy(time)), zero).alias("time_start"),
-    ).join(day_start, "day").select(
-        time, (F.col("day_start") + F.col("time_start")).alias("time_start")
-    )
+        "day", "at", before(Window.partitionBy("day").orderBy("at")).alias("time_start")
+    ).join(day_start, "day")
     piece_start = pieces.select(
-        time, *blocks,
-        F.coalesce(before(Window.partitionBy(time).orderBy(*blocks)), zero).alias("piece_start"),
-    ).join(time_start, time).select(
-        time, *blocks, (F.col("time_start") + F.col("piece_start")).alias("start")
+        "at", *blocks, before(Window.partitionBy("at").orderBy(*blocks)).alias("piece_start")
+    ).join(time_start, "at").select(
+        "at", *blocks,
+        (F.col("day_start") + F.col("time_start") + F.col("piece_start")).alias("start"),
     )
 
-    numbered = rows.withColumn(
-        "nth", F.row_number().over(Window.partitionBy(time, *blocks).orderBy(*within))
+    numbered = keyed.withColumn(
+        "nth", F.row_number().over(Window.partitionBy("at", *blocks).orderBy(*within))
     )
     return (
-        numbered.join(piece_start, [time, *blocks])
+        numbered.join(piece_start, ["at", *blocks])
         .withColumn(name, F.col("start") + F.col("nth") - F.lit(1))
-        .drop("start", "nth")
+        .drop("at", "start", "nth")
     )

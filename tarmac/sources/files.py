@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,13 @@ def _layouts(
     return layouts
 
 
+def _tail(files: list[str]) -> int:
+    """How many last parts of their paths tell the files apart, and order them."""
+    parts = [file.split("/") for file in files]
+    shared = os.path.commonprefix([p[:-1] for p in parts])
+    return max(len(p) for p in parts) - len(shared)
+
+
 def _typed(header: tuple[str, ...], known: T.StructType) -> T.StructType:
     types = {field.name: field.dataType for field in known}
     return T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
@@ -74,7 +82,7 @@ def read_monthly(
         )
         wanted = [field.name for field in MONTHLY if field.name in header]
         place = [
-            F.col("_metadata.file_path").alias("src_file"),
+            F.substring_index("_metadata.file_path", "/", -_tail(files)).alias("src_file"),
             F.col("_metadata.file_block_start").alias("src_block"),
             F.monotonically_increasing_id().alias("src_row"),
         ]

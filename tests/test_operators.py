@@ -144,10 +144,12 @@ def test_positions_of_one_hot_minute(spark):
     """Equal times spread over pieces; the numbers are still gap-free and in source order."""
     rng = random.Random(1)
     rows = [(60_000 if rng.random() < 0.5 else rng.randrange(5) * 60_000, n) for n in range(5000)]
-    frame = spark.createDataFrame(rows, "event_time bigint, id bigint").repartition(5)
+    rows += [(3 * 24 * HOUR_MS, n) for n in range(5000, 5050)]
+    no_time = [(None, n) for n in range(5050, 5060)]
+    frame = spark.createDataFrame(rows + no_time, "event_time bigint, id bigint").repartition(5)
     pieces = frame.withColumn("piece", F.floor(F.col("id") / 100))
     got = with_position(pieces, "event_time", ["piece"], ["id"], "place").collect()
-    want = {n: place for place, (_, n) in enumerate(sorted(rows))}
+    want = {n: place for place, (_, n) in enumerate(sorted(rows) + no_time)}
     assert {r.id: r.place for r in got} == want
 
 
