@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.numbers import number_or_zero
 from tarmac.settings import DEFAULTS, Settings
 
 
@@ -48,4 +49,6 @@ def flown(flights: DataFrame, blank_flags: str = "keep") -> DataFrame:
         return below if blank_flags == "drop" else F.col(name).isNull() | below
 
     kept = flights.where(unset("cancelled") & unset("diverted"))
-    return delay_or_zero(kept).drop("cancelled", "diverted")
+    return kept.withColumn("dep_delay", number_or_zero(F.col("dep_delay"))).drop(
+        "cancelled", "diverted"
+    )

@@ -50,6 +50,15 @@ def write_ranking(report: DataFrame, path: str, single_file: bool = False) -> No
     ordered.write.option("header", True).csv(path)
 
 
+def write_rankings(reports: DataFrame, path: str) -> None:
+    """Reports of several windows in one go: a folder per `span`, each in order."""
+    order = ["span", "ts", "rank"]
+    (
+        ranking_text(reports).repartitionByRange(*order).sortWithinPartitions(*order)
+        .write.partitionBy("span").option("header", True).csv(path)
+    )
+
+
 def preagg_lines(preagg: DataFrame) -> DataFrame:
     """Pre-aggregate rows as lines: the seven fields, then the list text where there is one."""
     texts = [

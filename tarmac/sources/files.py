@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.numbers import float_or_zero, number_or_zero, strict_int
+from tarmac.operators.ordering import with_position
 from tarmac.schema import EVENTS, FLIGHT_COLUMNS, MONTHLY, PREAGG
 
 # Where a row came from; together the three order the rows as the files hold them.
@@ -48,6 +49,18 @@ def _tail(files: list[str]) -> int:
     return max(len(p) for p in parts) - len(shared)
 
 
+def _source(tail: int) -> list[Column]:
+    """File, split of the file and row, which order rows as the files hold them.
+
+    Row ids grow within a split; across splits the split's offset decides.
+    """
+    return [
+        F.substring_index("_metadata.file_path", "/", -tail).alias("src_file"),
+        F.col("_metadata.file_block_start").alias("src_block"),
+        F.monotonically_increasing_id().alias("src_row"),
+    ]
+
+
 def _typed(header: tuple[str, ...], known: T.StructType) -> T.StructType:
     types = {field.name: field.dataType for field in known}
     return T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
@@ -81,12 +94,7 @@ def read_monthly(
             .schema(_typed(header, known)).csv(paths)
         )
         wanted = [field.name for field in MONTHLY if field.name in header]
-        place = [
-            F.substring_index("_metadata.file_path", "/", -_tail(files)).alias("src_file"),
-            F.col("_metadata.file_block_start").alias("src_block"),
-            F.monotonically_increasing_id().alias("src_row"),
-        ]
-        month = scan.select(*wanted, *(place if with_source else []))
+        month = scan.select(*wanted, *(_source(_tail(files)) if with_source else []))
         months = month if months is None else months.unionByName(month, allowMissingColumns=True)
     for field in MONTHLY:
         column = F.col(field.name) if field.name in months.columns else F.lit(None)
@@ -106,11 +114,21 @@ def _event_scan(spark: SparkSession, path: str, as_text: bool) -> DataFrame:
     )
 
 
+def _with_seq(flights: DataFrame) -> DataFrame:
+    """Event files from elsewhere have no `seq`: number their rows by time and file order."""
+    if "seq" in flights.columns:
+        return flights
+    return with_position(flights, "event_time", ["src_file", "src_block"], ["src_row"]).drop(
+        *SOURCE
+    )
+
+
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
-    """The flight columns of a typed event file (and `seq` where it has one)."""
+    """The flight columns of a typed event file, with `seq`."""
     scan = _event_scan(spark, path, as_text=False)
-    names = {**FLIGHT_COLUMNS, **({"seq": "seq"} if "seq" in scan.columns else {})}
-    return scan.select(*[F.col(name).alias(new) for name, new in names.items()])
+    place = [F.col("seq")] if "seq" in scan.columns else _source(1)
+    names = [F.col(name).alias(new) for name, new in FLIGHT_COLUMNS.items()]
+    return _with_seq(scan.select(*names, *place))
 
 
 def read_flights_tolerant(spark: SparkSession, path: str) -> DataFrame:
@@ -129,9 +147,11 @@ def read_flights_tolerant(spark: SparkSession, path: str) -> DataFrame:
     }
     needed = [*numbers, "origin", "dest", "event_time"]
     if "seq" in scan.columns:
-        as_read["seq"] = strict_int(F.col("seq"), "bigint")
-    flights = scan.select(*[c.alias(n) for n, c in {**as_read, **numbers}.items()])
-    flights = flights.dropna(subset=needed)
+        place = [strict_int(F.col("seq"), "bigint").alias("seq")]
+    else:
+        place = _source(1)
+    flights = scan.select(*[c.alias(n) for n, c in {**as_read, **numbers}.items()], *place)
+    flights = _with_seq(flights.dropna(subset=needed))
     return flights.withColumns(
         {name: number_or_zero(F.col(name)) for name in ("cancelled", "diverted")}
     )

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tarmac.plans.airports import airport_report
 from tarmac.plans.prepare import prepare_events
 from tarmac.schema import EVENTS
 from tarmac.session import scratch
@@ -166,10 +167,26 @@ def test_event_file_scans(spark, tmp_path):
     bad = line(DEP_DELAY="abc").split(",")
     blank = line(DEP_DELAY="", CANCELLED="").split(",")
     month_file(tmp_path, "events.csv", columns, GOOD.split(","), bad, blank)
-    typed = read_flights(spark, str(tmp_path / "events.csv")).collect()
+    typed = read_flights(spark, str(tmp_path / "events.csv")).orderBy("seq").collect()
     assert [r.dep_delay for r in typed] == [20.0, None, None]
-    tolerant = read_flights_tolerant(spark, str(tmp_path / "events.csv")).collect()
+    tolerant = read_flights_tolerant(spark, str(tmp_path / "events.csv")).orderBy("seq").collect()
     assert [(r.dep_delay, r.cancelled) for r in tolerant] == [(20.0, 0.0), (0.0, 0.0)]
+    assert [r.seq for r in typed] == [0, 1, 2] and [r.seq for r in tolerant] == [0, 1]
+
+
+def test_event_file_without_places_keeps_its_order(spark, tmp_path):
+    """Flights of one minute with equal delays are listed as the file has them."""
+    rows = [line(DEP_DELAY="40.0", DEST_AIRPORT_ID=str(n)).split(",") for n in range(500, 0, -1)]
+    month_file(tmp_path, "events.csv", EVENTS.fieldNames(), *rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        flights = read_flights(spark, str(tmp_path / "events.csv"))
+        report = airport_report(flights, None).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    listed = [item.split(",")[1] for item in report.delayed_flights[2:-2].split("), (")]
+    assert listed == [str(n) for n in range(500, 480, -1)]
 
 
 def test_event_file_is_in_order(spark, tmp_path):
