@@ -13,6 +13,7 @@ from tarmac.plans.prepare import prepare_events
 from tarmac.settings import DEFAULTS, WINDOWS_MS, Settings
 from tarmac.sinks.files import write_event_table, write_events, write_ranking, write_rankings
 from tarmac.sources.files import (
+    read_event_table,
     read_flights,
     read_flights_tolerant,
     read_monthly,
@@ -40,22 +41,27 @@ def prepare(
 def carriers_by_hour(
     spark: SparkSession, lines: str, output: str, checkpoint: str,
     settings: Settings = DEFAULTS, files_per_trigger: int | None = None, by_hour: bool = False,
+    every: str | None = None,
 ) -> None:
-    """Event lines -> hourly carrier statistics, appended as CSV. Run again to go on."""
+    """Event lines -> hourly carrier statistics, appended as CSV.
+
+    Stops when all lines are read, and goes on from there when run again; with `every` (say
+    "30 seconds") it keeps waiting for more.
+    """
     report = carrier_text(carrier_stream(stream_lines(spark, lines, files_per_trigger), settings))
-    to_csv(report, output, checkpoint, by_hour).awaitTermination()
+    to_csv(report, output, checkpoint, by_hour, every).awaitTermination()
 
 
 def airports(
     spark: SparkSession, events: str, output: str, settings: Settings = DEFAULTS,
-    blank_flags: str = "drop",
+    blank_flags: str = "drop", table: bool = False,
 ) -> None:
-    """Event file -> the airport reports of all windows, a folder per window.
+    """Event file (or `table`) -> the airport reports of all windows, a folder per window.
 
     A flight with a blank flag is left out; blank_flags="keep" counts it as flown, as the
     streaming jobs do.
     """
-    flights = read_flights(spark, events)
+    flights = (read_event_table if table else read_flights)(spark, events)
     if blank_flags == "drop":
         flights = flights.dropna(subset=["cancelled", "diverted"])
     write_rankings(airport_reports(flights, REPORT_SPANS, settings), output)
@@ -64,6 +70,7 @@ def airports(
 def preaggregate(
     spark: SparkSession, lines: str, output_root: str, checkpoint_root: str,
     settings: Settings = DEFAULTS, files_per_trigger: int | None = None, lists: bool = False,
+    every: str | None = None,
 ) -> None:
     """Event lines -> per-(window, airport) statistics for 1 h, 6 h and 120 days.
 
@@ -77,13 +84,13 @@ def preaggregate(
         stats = preagg_report(airport_stream(source(), WINDOWS_MS[size], settings))
         stats = stats.withColumns({n: two_decimals(n) for n in ("sum_delay", "max_delay")})
         starts[folder] = lambda s=stats, f=folder: to_csv(
-            s, f"{output_root}/{f}", f"{checkpoint_root}/{f}"
+            s, f"{output_root}/{f}", f"{checkpoint_root}/{f}", every=every
         )
         if lists:
             worst = worst_flights_stream(source(), WINDOWS_MS[size], settings)
             starts[f"{folder}_worst"] = lambda s=worst, f=f"{folder}_worst": each_batch(
                 s, f"{output_root}/{f}", f"{checkpoint_root}/{f}",
-                lambda batch: merge_candidates(batch, settings),
+                lambda batch: merge_candidates(batch, settings), every,
             )
     all_of(starts)
 

@@ -131,6 +131,12 @@ def read_flights(spark: SparkSession, path: str) -> DataFrame:
     return _with_seq(scan.select(*names, *place))
 
 
+def read_event_table(spark: SparkSession, path: str) -> DataFrame:
+    """The flight columns of an event table; filters and columns reach its Parquet scan."""
+    names = [F.col(name).alias(new) for name, new in FLIGHT_COLUMNS.items()]
+    return spark.read.parquet(path).select(*names, "seq")
+
+
 def read_flights_tolerant(spark: SparkSession, path: str) -> DataFrame:
     """The same columns from any event file; rows that fail to convert are skipped."""
     scan = _event_scan(spark, path, as_text=True)

@@ -1,4 +1,7 @@
-"""Sinks for the streaming reports. Every query stops once all available input is read."""
+"""Sinks for the streaming reports.
+
+A query stops once all available input is read, or goes on if given an interval (`every`).
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def to_csv(stream: DataFrame, path: str, checkpoint: str, by_hour: bool = False) -> StreamingQuery:
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def to_csv(
+    stream: DataFrame, path: str, checkpoint: str, by_hour: bool = False, every: str | None = None
+) -> StreamingQuery:
     """Append CSV part files without header, exactly once per row.
 
     `by_hour` files them below the processing hour, e.g. proc_hour=2026-06-30--16.
@@ -22,12 +31,13 @@ def to_csv(stream: DataFrame, path: str, checkpoint: str, by_hour: bool = False)
         writer = writer.partitionBy("proc_hour")
     return (
         writer.option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**_trigger(every)).start()
     )
 
 
 def each_batch(
-    stream: DataFrame, path: str, checkpoint: str, report: Callable[[DataFrame], DataFrame]
+    stream: DataFrame, path: str, checkpoint: str, report: Callable[[DataFrame], DataFrame],
+    every: str | None = None,
 ) -> StreamingQuery:
     """Apply a batch-only step (a ranking, say) to the rows of each micro-batch.
 
@@ -39,7 +49,7 @@ def each_batch(
 
     return (
         stream.writeStream.outputMode("append").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
     )
 
 
