@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.functions.numbers import two_decimals
@@ -108,11 +109,21 @@ def postprocess(
         ("q2_6h_final", "q2_6h", False),
         ("q2_global_final", "q2_1h", True),
     ):
-        stored = read_preagg(spark, f"{preagg_root}/{folder}")
-        if stored.isEmpty():
+        stored = _stored_preagg(spark, f"{preagg_root}/{folder}")
+        if stored is None:
             continue
         report = report_from_preagg(stored, flights, whole, settings)
         write_ranking(report, f"{output_root}/{name}")
         written.append(name)
     return written
 
+
+def _stored_preagg(spark: SparkSession, path: str) -> DataFrame | None:
+    """The pre-aggregates below `path`, or None where the stream has left none."""
+    try:
+        stored = read_preagg(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return None if stored.isEmpty() else stored

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,12 +12,13 @@ from tarmac.settings import DAY_MS
 
 
 def with_position(
-    rows: DataFrame, time: str, blocks: list[str], within: list[str], name: str = "seq"
+    rows: DataFrame, time: str, blocks: Sequence[str], within: Sequence[str], name: str = "seq"
 ) -> DataFrame:
     """Number the rows 0, 1, 2... by time, equal times in source order.
 
     `blocks` name the piece of source a row came from, in source order and small enough for one
-    task (a file split, a run of ids); `within` orders the rows of a piece. Rows are counted per
+    task (a file split, a run of ids); `within` orders the rows of a piece. A row must come with
+    the same piece each time it is read, so file splits have to be stored columns. Rows are counted per
     (time, piece), the counts are summed up to offsets, and only a (time, piece) group is ever
     numbered in one task: a busy minute spreads over as many tasks as it has pieces.
 

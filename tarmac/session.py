@@ -52,6 +52,17 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/tarmac/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` to a table in the shared folder and read it back from there.
+
+    For large frames whose rows depend on how their scan was split: a second scan may be split
+    differently when the cluster has grown or shrunk in between.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once into the reliable checkpoint folder.
 

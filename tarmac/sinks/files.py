@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.numbers import two_decimals
-from tarmac.schema import EVENTS, PREAGG
+from tarmac.schema import EVENTS
 
 
 def write_events(events: DataFrame, path: str) -> None:
@@ -59,24 +59,13 @@ def write_rankings(reports: DataFrame, path: str) -> None:
     )
 
 
-def preagg_lines(preagg: DataFrame) -> DataFrame:
-    """Pre-aggregate rows as lines: the seven fields, then the list text where there is one."""
-    texts = [
-        two_decimals(name) if name in ("sum_delay", "max_delay") else F.col(name)
-        for name in PREAGG.fieldNames()
-    ]
-    if "top_str" in preagg.columns:
-        texts.append(F.col("top_str"))
-    return preagg.select(F.concat_ws(",", *texts).alias("value"))
-
-
 def write_preagg(preagg: DataFrame, path: str) -> None:
-    """Part files named .csv, one line per (window, airport), no header."""
-    preagg.select(
-        *[F.col(name) for name in preagg.columns if name not in ("sum_delay", "max_delay")],
-        two_decimals("sum_delay"),
-        two_decimals("max_delay"),
-    ).select(*preagg.columns).write.csv(path)
+    """Part files named .csv, one line per (window, airport), no header.
+
+    The seven plain fields, then the list text where there is one.
+    """
+    texts = {name: two_decimals(name) for name in ("sum_delay", "max_delay")}
+    preagg.withColumns(texts).write.option("emptyValue", "").csv(path)
 
 
 def write_by_hour(df: DataFrame, path: str) -> None:

@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 from tarmac.functions.numbers import float_or_zero, number_or_zero, strict_int
 from tarmac.operators.ordering import with_position
 from tarmac.schema import EVENTS, FLIGHT_COLUMNS, MONTHLY, PREAGG
+from tarmac.session import stored
 
-# Where a row came from; together the three order the rows as the files hold them.
-SOURCE = ("src_file", "src_block", "src_row")
+# Where a row came from: file, split of the file, run of rows, row. In this order they sort the
+# rows as the files hold them; the first three name a piece of at most 2**RUN_BITS rows.
+SOURCE = ("src_file", "src_block", "src_run", "src_row")
+RUN_BITS = 20
 
 
 def list_files(spark: SparkSession, path: str, glob: str) -> list[str]:
@@ -50,14 +53,13 @@ def _tail(files: list[str]) -> int:
 
 
 def _source(tail: int) -> list[Column]:
-    """File, split of the file and row, which order rows as the files hold them.
-
-    Row ids grow within a split; across splits the split's offset decides.
-    """
+    """The SOURCE columns. Row ids grow within a split; a compressed file is a single split."""
+    row = F.monotonically_increasing_id()
     return [
         F.substring_index("_metadata.file_path", "/", -tail).alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
+        F.shiftright(row, RUN_BITS).alias("src_run"),
+        row.alias("src_row"),
     ]
 
 
@@ -118,9 +120,8 @@ def _with_seq(flights: DataFrame) -> DataFrame:
     """Event files from elsewhere have no `seq`: number their rows by time and file order."""
     if "seq" in flights.columns:
         return flights
-    return with_position(flights, "event_time", ["src_file", "src_block"], ["src_row"]).drop(
-        *SOURCE
-    )
+    placed = stored(flights, "placed")
+    return with_position(placed, "event_time", SOURCE[:-1], SOURCE[-1:]).drop(*SOURCE)
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:

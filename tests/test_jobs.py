@@ -85,6 +85,11 @@ def test_batch_and_streamed_airport_reports_agree(spark, world):
     assert first.delayed_flights.startswith("[(") and first.delayed_flights.count("(") == 5
 
 
+def test_no_report_without_preaggregates(spark, world, tmp_path):
+    (tmp_path / "q2_6h").mkdir()
+    assert jobs.postprocess(spark, str(tmp_path), f"{world}/events", str(tmp_path / "out")) == []
+
+
 def test_preaggregate_with_lists(spark, world):
     jobs.preaggregate(
         spark, f"{world}/lines", f"{world}/listed", f"{world}/listed-state", SETTINGS, lists=True

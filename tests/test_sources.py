@@ -1,11 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+import tarmac.sources.files as files
 from tarmac.plans.airports import airport_report
 from tarmac.plans.prepare import prepare_events
 from tarmac.schema import EVENTS
 from tarmac.session import scratch
-from tarmac.sinks.files import preagg_lines, write_by_hour, write_events, write_ranking
+from tarmac.sinks.files import write_by_hour, write_events, write_preagg, write_ranking
 from tarmac.sources.files import read_flights, read_flights_tolerant, read_monthly, read_preagg
 from tarmac.sources.lines import (
     END_CARRIER,
@@ -144,6 +145,21 @@ def test_folder_header_is_checked_against_every_part(spark, tmp_path):
         mixed.collect()
 
 
+def test_row_order_within_one_long_split(spark, tmp_path, monkeypatch):
+    """A file that cannot be split is cut into runs of rows."""
+    monkeypatch.setattr(files, "RUN_BITS", 6)
+    names = EVENTS.fieldNames()[:-1]
+    row = dict(zip(names, GOOD.split(",")))
+    month_file(
+        tmp_path, "2025_01.csv", names,
+        *[{**row, "DEP_DELAY": str(float(n))}.values() for n in range(1000)],
+    )
+    monthly = read_monthly(spark, str(tmp_path))
+    assert monthly.select("src_run").distinct().count() == 16
+    got = sorted((r.seq, r.DEP_DELAY) for r in prepare_events(monthly).collect())
+    assert got == [(n, float(n)) for n in range(1000)]
+
+
 def test_row_order_within_split_files(spark, tmp_path):
     """Rows of one minute keep file order even when a file is read in several splits."""
     names = EVENTS.fieldNames()[:-1]
@@ -213,7 +229,11 @@ def test_preagg_files(spark):
     got = read_preagg(spark, root).collect()
     assert len(got) == 2 and got[0] == got[1]
     assert tuple(got[0])[2:] == (11298, 30, 2, 100.5, 60.0)
-    assert preagg_lines(read_preagg(spark, root)).first().value == row
+    again = scratch(spark, "test")
+    lists = read_preagg(spark, root).withColumn("top_str", F.lit(""))
+    write_preagg(lists, again)
+    assert {r.value for r in spark.read.text(again).collect()} == {row + ","}
+    assert read_preagg(spark, again).collect() == got
 
 
 def test_report_files(spark, tmp_path):
