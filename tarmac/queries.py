@@ -59,7 +59,7 @@ from tarmac.streaming.sinks import each_batch, to_csv
 
 STEPS = {"1h": WINDOWS_MS["1h"], "6h": WINDOWS_MS["6h"], "global": None}
 MIN_FLIGHTS = {"1h": 2, "6h": 3, "global": 30}
-SLICES = 3
+MICRO_BATCHES = 3
 
 
 def settings_for(size: str) -> Settings:
@@ -247,13 +247,15 @@ class Replayed:
         root = scratch(spark, label)
         self.spark = spark
         self.lines, self.out, self.checkpoint = f"{root}/lines", f"{root}/out", f"{root}/state"
+        self.files = 0
 
     def write(self, folder: str) -> "Replayed":
-        write_replay(table_monthly(table_flights(self.spark, folder)), self.lines, SLICES)
+        events = table_monthly(table_flights(self.spark, folder))
+        self.files = write_replay(events, self.lines)
         return self
 
     def stream(self) -> DataFrame:
-        return stream_lines(self.spark, self.lines, files_per_trigger=1)
+        return stream_lines(self.spark, self.lines, -(-self.files // MICRO_BATCHES))
 
     def csv(self, stream: DataFrame) -> DataFrame:
         to_csv(stream, self.out, self.checkpoint).awaitTermination()

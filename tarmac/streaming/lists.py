@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tarmac.functions.times import bucket_start
 from tarmac.operators.flights import is_severe
 from tarmac.operators.worst import worst_flights
 from tarmac.settings import DEFAULTS, Settings
@@ -20,6 +21,7 @@ from tarmac.sources.lines import parse_airport_flights
 from tarmac.streaming.reports import in_event_time, tumbling
 
 _FLIGHT = ["dep_delay", "seq", "event_time", "carrier", "dest"]
+_ORDER, _ASCENDING = ["dep_delay", "seq", "event_time"], [False, True, True]
 _OUTPUT = (
     "ws bigint, we bigint, origin int, dep_delay double, seq bigint, event_time bigint, "
     "carrier string, dest int"
@@ -31,26 +33,33 @@ _STATE = (
 
 
 def worst_flights_stream(
-    lines: DataFrame, step_ms: int, settings: Settings = DEFAULTS, shares: int = 4
+    lines: DataFrame, step_ms: int, settings: Settings = DEFAULTS, shares: int = 16
 ) -> DataFrame:
     """Candidates for the list of each (window, airport), emitted when the window closes.
 
-    An airport's flights are dealt out over `shares` states, which see them as Arrow batches and
-    hold `list_length` flights each; `merge_candidates` joins the shares. The end line passes the
-    severity filter so that it can move event time.
+    Scan tasks cut each Arrow batch to the lists it can fill. What is left of an airport is dealt
+    out over `shares` states of `list_length` flights each, which `merge_candidates` joins. The
+    end line passes the severity filter so that it can move event time.
     """
     length = settings.list_length
     flights = parse_airport_flights(lines, keep_end=True).where(
         is_severe(settings) | (F.col("origin") < 0)
     )
+    in_window = flights.select(
+        "origin", bucket_start(F.col("event_time"), step_ms).alias("ws"), *_FLIGHT
+    ).withColumn("seq", F.coalesce("seq", "event_time"))  # lines may lack the place
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.sort_values(_ORDER, ascending=_ASCENDING).groupby(["origin", "ws"]).head(
+                length
+            )
+
     share = F.pmod(F.xxhash64("event_time", "seq", "carrier", "dest"), F.lit(shares))
-    dealt = in_event_time(flights, settings).select(
+    dealt = in_event_time(in_window.mapInPandas(cut, in_window.schema), settings).select(
         tumbling(step_ms).alias("window"),
         F.lit(step_ms).cast("bigint").alias("step"),
-        "origin", share.cast("int").alias("share"), *_FLIGHT,
-    ).withColumns(
-        # Lines without a place in the stream take their event time for it.
-        {"ws": F.unix_millis("window.start"), "seq": F.coalesce("seq", "event_time")}
+        "origin", "ws", share.cast("int").alias("share"), *_FLIGHT,
     )
 
     def keep(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -65,9 +74,7 @@ def worst_flights_stream(
         best = pd.DataFrame(dict(zip(_FLIGHT, state.get))) if state.exists else None
         for batch in batches:
             seen = batch[_FLIGHT] if best is None else pd.concat([best, batch[_FLIGHT]])
-            best = seen.sort_values(
-                ["dep_delay", "seq", "event_time"], ascending=[False, True, True]
-            ).head(length)
+            best = seen.sort_values(_ORDER, ascending=_ASCENDING).head(length)
         state.update(tuple(best[name].tolist() for name in _FLIGHT))
         closes = max(ws + step - 1, state.getCurrentWatermarkMs() + 1)
         state.setTimeoutTimestamp(closes)

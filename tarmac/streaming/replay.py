@@ -4,42 +4,53 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tarmac.settings import DAY_MS
 from tarmac.sources.lines import end_line, to_lines
 
 
-def write_replay(events: DataFrame, path: str, slices: int, close: bool = True) -> None:
-    """Write the events as `slices` line files, one stretch of event time each.
+def write_replay(
+    events: DataFrame, path: str, files: int | None = None, close: bool = True
+) -> int:
+    """Write the events as line files, one stretch of event time each, and return their number.
 
-    One range-partitioned pass. The stream source reads the oldest file first, so the files get
-    modification times in slice order afterwards, a second apart (tasks finish in any order).
-    `close` adds the line that makes the stream emit its last windows.
+    One range-partitioned pass, by default into as many files as a shuffle has partitions. The
+    stream source reads the oldest file first, so the files get modification times in event order
+    afterwards (tasks finish in any order). `close` adds the line that makes the stream emit its
+    last windows.
     """
     spark = events.sparkSession
-    ordered = events.repartitionByRange(slices, "event_time", "seq").sortWithinPartitions(
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = events.repartitionByRange(files, "event_time", "seq").sortWithinPartitions(
         "event_time", "seq"
     )
     to_lines(ordered).write.text(path)
-    _date_in_order(spark, path)
+    written = _date_in_order(spark, path)
     if close:
         end_line(spark).write.mode("append").text(path)
+    return written
 
 
-def _date_in_order(spark: SparkSession, path: str) -> None:
+def _date_in_order(spark: SparkSession, path: str) -> int:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = sorted(
-        (status.getPath() for status in files.listStatus(folder)
-         if status.getPath().getName().startswith("part-")),
-        # Part numbers have five digits or more, so longer names come later.
-        key=lambda part: (len(part.getName()), part.getName()),
-    )
-    first = int(time.time() * 1000) - 1000 * len(parts)
-    for nth, part in enumerate(parts):
-        files.setTimes(part, first + 1000 * nth, -1)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = [status.getPath() for status in system.listStatus(folder)]
+    # Part numbers have five digits or more, so longer names come later.
+    named = sorted((len(name), name) for name in (p.getName() for p in paths) if name[:5] == "part-")
+    apart = min(1000, DAY_MS // max(1, len(named)))  # the source skips files a week older
+    first = int(time.time() * 1000) - apart * len(named)
+
+    def date(nth: int) -> None:
+        part = spark._jvm.org.apache.hadoop.fs.Path(folder, named[nth][1])
+        system.setTimes(part, first + apart * nth, -1)
+
+    with ThreadPool(16) as pool:
+        pool.map(date, range(len(named)))
+    return len(named)
 
 
 def feed(phases: list[DataFrame], path: str, start: Callable[[], StreamingQuery]) -> None:
