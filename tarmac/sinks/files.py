@@ -51,11 +51,22 @@ def write_ranking(report: DataFrame, path: str, single_file: bool = False) -> No
 
 
 def write_rankings(reports: DataFrame, path: str) -> None:
-    """Reports of several windows in one go: a folder per `span`, each in order."""
+    """Reports of several windows in one go: a folder per `span`, each in order.
+
+    The list is always quoted here, the empty one too. The CSV writer quotes by need or
+    everything, so it gets finished lines as its only column, named after the header.
+    """
     order = ["span", "ts", "rank"]
+    names = [name for name in reports.columns if name != "span"]
+    fields = [
+        F.concat(F.lit('"'), F.col(name), F.lit('"')) if name == "delayed_flights" else F.col(name)
+        for name in names
+    ]
     (
         ranking_text(reports).repartitionByRange(*order).sortWithinPartitions(*order)
-        .write.partitionBy("span").option("header", True).csv(path)
+        .select("span", F.concat_ws(",", *fields).alias(",".join(names)))
+        .write.partitionBy("span").option("header", True)
+        .option("sep", "\x01").option("escapeQuotes", False).csv(path)
     )
 
 

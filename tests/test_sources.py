@@ -6,7 +6,13 @@ from tarmac.plans.airports import airport_report
 from tarmac.plans.prepare import prepare_events
 from tarmac.schema import EVENTS
 from tarmac.session import scratch
-from tarmac.sinks.files import write_by_hour, write_events, write_preagg, write_ranking
+from tarmac.sinks.files import (
+    write_by_hour,
+    write_events,
+    write_preagg,
+    write_ranking,
+    write_rankings,
+)
 from tarmac.sources.files import read_flights, read_flights_tolerant, read_monthly, read_preagg
 from tarmac.sources.lines import (
     END_CARRIER,
@@ -253,6 +259,34 @@ def test_report_files(spark, tmp_path):
     ]
 
 
+def test_reports_of_several_windows(spark, tmp_path):
+    reports = spark.createDataFrame(
+        [("6h", "2025-01-01 00:00:00", 1, 2.675, 31.0, "[(AA,1,31.00), (DL,2,31.00)]"),
+         ("1h", "2025-01-01 01:00:00", 1, 0.0, 0.0, "[]"),
+         ("1h", "2025-01-01 00:00:00", 1, 0.125, 40.0, "[(AA,1,40.00)]")],
+        "span string, ts string, rank int, dep_delay_mean double, dep_delay_max double, "
+        "delayed_flights string",
+    )
+    write_rankings(reports, str(tmp_path / "r"))
+    header = "ts,rank,dep_delay_mean,dep_delay_max,delayed_flights"
+
+    def rows(span):
+        parts = sorted((tmp_path / "r" / f"span={span}").glob("part-*.csv"))
+        texts = [part.read_text().splitlines() for part in parts]
+        assert {t[0] for t in texts} == {header}
+        return [row for t in texts for row in t[1:]]
+
+    assert rows("6h") == ['2025-01-01 00:00:00,1,2.67,31.00,"[(AA,1,31.00), (DL,2,31.00)]"']
+    assert rows("1h") == [
+        '2025-01-01 00:00:00,1,0.12,40.00,"[(AA,1,40.00)]"',
+        '2025-01-01 01:00:00,1,0.00,0.00,"[]"',
+    ]
+    back = spark.read.option("header", True).csv(str(tmp_path / "r"))
+    assert {r.delayed_flights for r in back.collect()} == {
+        "[]", "[(AA,1,40.00)]", "[(AA,1,31.00), (DL,2,31.00)]"
+    }
+
+
 def test_folders_by_processing_hour(spark, tmp_path):
     write_by_hour(spark.range(3), str(tmp_path / "out"))
     (folder,) = (tmp_path / "out").glob("proc_hour=*")
