@@ -21,6 +21,7 @@ from tarmac.sources.lines import parse_airport_flights
 from tarmac.streaming.reports import in_event_time, tumbling
 
 _FLIGHT = ["dep_delay", "seq", "event_time", "carrier", "dest"]
+_COLUMNS = ["ws", "we", "origin", *_FLIGHT]
 _ORDER, _ASCENDING = ["dep_delay", "seq", "event_time"], [False, True, True]
 _OUTPUT = (
     "ws bigint, we bigint, origin int, dep_delay double, seq bigint, event_time bigint, "
@@ -64,20 +65,19 @@ def worst_flights_stream(
 
     def keep(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         origin, ws, _, step = (int(part) for part in key)
-        if state.hasTimedOut:
-            best = pd.DataFrame(dict(zip(_FLIGHT, state.get)))
-            state.remove()
-            yield best.assign(ws=ws, we=ws + step, origin=origin)[
-                ["ws", "we", "origin", *_FLIGHT]
-            ]
-            return
         best = pd.DataFrame(dict(zip(_FLIGHT, state.get))) if state.exists else None
+        if state.hasTimedOut or ws + step <= state.getCurrentWatermarkMs():
+            # The window closes in this micro-batch, for all shares alike: flights that come for
+            # it only now are late.
+            if best is not None:
+                state.remove()
+                yield best.assign(ws=ws, we=ws + step, origin=origin)[_COLUMNS]
+            return
         for batch in batches:
             seen = batch[_FLIGHT] if best is None else pd.concat([best, batch[_FLIGHT]])
             best = seen.sort_values(_ORDER, ascending=_ASCENDING).head(length)
         state.update(tuple(best[name].tolist() for name in _FLIGHT))
-        closes = max(ws + step - 1, state.getCurrentWatermarkMs() + 1)
-        state.setTimeoutTimestamp(closes)
+        state.setTimeoutTimestamp(ws + step - 1)
 
     return dealt.groupBy("origin", "ws", "share", "step").applyInPandasWithState(
         keep, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout

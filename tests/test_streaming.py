@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators.airports import airport_stats, preagg_report, with_window
@@ -103,3 +104,21 @@ def test_lines_without_a_place_in_the_stream(spark, flights):
     want = worst_flights(with_window(severe_flights(flights), 120 * DAY_MS))
     columns = ["origin", "place", "dep_delay", "event_time"]
     assert same(spark.read.parquet(f"{root}/out").select(*columns), want.select(*columns))
+
+
+@pytest.mark.parametrize("shares", [1, 16])
+def test_late_flights_do_not_split_a_list(spark, shares):
+    """A flight for an hour that closes in its own micro-batch is late, list and all shares."""
+    root = scratch(spark, "late-lists")
+    for minutes in ([(5, 40), (10, 50), (15, 45), (130, 31)], [(20, 99), (25, 98), (131, 32)]):
+        rows = [f"2025,1,1,AA,1,2,0,{d}.0,,0,0,,,,,,{m * 60_000}" for m, d in minutes]
+        frame = spark.createDataFrame([(row,) for row in rows], "value string").coalesce(1)
+        frame.write.mode("append").text(f"{root}/lines")
+    end_line(spark).write.mode("append").text(f"{root}/lines")
+    lines = stream_lines(spark, f"{root}/lines", 1)
+    stream = worst_flights_stream(lines, HOUR_MS, shares=shares)
+    each_batch(stream, f"{root}/out", f"{root}/state", merge_candidates).awaitTermination()
+    got = spark.read.parquet(f"{root}/out").orderBy("ws", "place").collect()
+    assert [(r.ws // HOUR_MS, r.place, r.dep_delay) for r in got] == [
+        (0, 1, 50.0), (0, 2, 45.0), (0, 3, 40.0), (2, 1, 32.0), (2, 2, 31.0)
+    ]
