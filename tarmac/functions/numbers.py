@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 # Text a strict reader accepts as a number, blanks around it aside. Spark's own cast ignores
 # those blanks too, but is laxer otherwise (it takes "1.5d").
 _BLANK_TEXT = r"^\s*$"
-_FLOAT_TEXT = r"^\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+_FLOAT_TEXT = (
+    r"^\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+)
 _INT_TEXT = r"^\s*[+-]?\d+\s*$"
 
 

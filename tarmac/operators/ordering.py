@@ -17,15 +17,14 @@ def with_position(
     """Number the rows 0, 1, 2... by time, equal times in source order.
 
     `blocks` name the piece of source a row came from, in source order and small enough for one
-    task (a file split, a run of ids); `within` orders the rows of a piece. A row must come with
-    the same piece each time it is read, so file splits have to be stored columns. Rows are counted per
-    (time, piece), the counts are summed up to offsets, and only a (time, piece) group is ever
-    numbered in one task: a busy minute spreads over as many tasks as it has pieces.
-
-    Offsets add up in levels (day, time, piece), so each running sum covers one level only; the
-    single-task one has a row per day. The counts are settled, as all levels start from them:
-    one pass over a few columns for the counts and one over the rows. Rows without a time come
-    last.
+    task (a run of rows or ids); `within` orders the rows of a piece. A row must come with the
+    same piece each time it is read, so places found by a file scan have to be stored columns.
+
+    Rows are counted per (time, piece), the counts are summed up to offsets, and only a
+    (time, piece) group is ever numbered in one task: a busy minute spreads over as many tasks as
+    it has pieces. Offsets add up in levels (day, time, piece), so each running sum covers one
+    level only; the single-task one has a row per day. The counts are settled, as all levels
+    start from them. Rows without a time come last.
     """
     at = F.coalesce(F.col(time), F.lit(2**63 - 1)).cast("bigint")
     keyed = rows.withColumn("at", at)
