@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tarmac.llm import url_filter
+from tarmac.llm import secrets, url_filter
 
 QUERIES = {
     "op2_url_filter": url_filter.query,
+    "op3_secrets": secrets.query,
 }
 
 ORACLES = {
     "op2_url_filter": url_filter.SQL,
+    "op3_secrets": secrets.SQL,
 }
