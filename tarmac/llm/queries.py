@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tarmac.llm import secrets, url_filter
+from tarmac.llm import secrets, url_filter, warc
 
 QUERIES = {
     "op2_url_filter": url_filter.query,
     "op3_secrets": secrets.query,
+    "op10_warc": warc.query,
 }
 
 ORACLES = {
     "op2_url_filter": url_filter.SQL,
     "op3_secrets": secrets.SQL,
+    "op10_warc": warc.SQL,
 }
