@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tarmac.llm import language_id, secrets, url_filter, warc
+from tarmac.llm import language_id, secrets, toxicity, url_filter, warc
 
 QUERIES = {
     "op2_url_filter": url_filter.query,
     "op3_secrets": secrets.query,
     "op5_language_id": language_id.query,
+    "op8_toxicity": toxicity.query,
     "op10_warc": warc.query,
 }
 
