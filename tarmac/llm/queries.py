@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tarmac.llm import language_id, secrets, sentencepiece_codec, toxicity, url_filter, warc
+from tarmac.llm import decontaminate, language_id, secrets, sentencepiece_codec, toxicity, url_filter, warc
 
 QUERIES = {
     "op2_url_filter": url_filter.query,
     "op3_secrets": secrets.query,
     "op5_language_id": language_id.query,
     "op6_sentencepiece": sentencepiece_codec.query,
+    "op7_decontaminate": decontaminate.query,
     "op8_toxicity": toxicity.query,
     "op10_warc": warc.query,
 }
