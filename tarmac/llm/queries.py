@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarmac.llm import decontaminate, language_id, secrets, sentencepiece_codec, toxicity, url_filter, warc
+from tarmac.llm import decontaminate, language_id, order_minhash, secrets, sentencepiece_codec, toxicity, url_filter, warc
 
 QUERIES = {
     "op2_url_filter": url_filter.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_sentencepiece": sentencepiece_codec.query,
     "op7_decontaminate": decontaminate.query,
     "op8_toxicity": toxicity.query,
+    "op9_near_duplicates": order_minhash.query,
     "op10_warc": warc.query,
 }
 
