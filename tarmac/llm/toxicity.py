@@ -25,7 +25,7 @@ from tarmac.llm.common import PIECE_CHARS, crc_of_id, mix, small_batches, table
 from tarmac.llm.common import _inside, _pieces, _points, _powers, _BASE, _INVERSE
 
 #: Labelled rows that learning takes, by the order of a hash of their ids.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000
 #: Besides the whole words, their first letters in these numbers are features.
 PREFIXES = (3, 4, 5, 6, 7)
 #: A feature must be in this many sampled texts.
@@ -180,29 +180,31 @@ def train(labels: np.ndarray, found: list[np.ndarray]) -> Model:
     empty = np.empty(0, np.uint64)
     if not len(y) or y.min() == y.max():
         return Model(empty, np.empty(0), 4.0 if len(y) and y.min() == 1 else -4.0)
-    every, counts = np.unique(np.concatenate(found), return_counts=True)
-    every = every[counts >= LEAST_TEXTS]
-    rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+    rows = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
     flat = np.concatenate(found)
-    at = np.searchsorted(every, flat)
-    at[at == len(every)] = 0
-    known = every[at] == flat if len(every) else np.zeros(len(flat), bool)
-    rows, at = rows[known], at[known]
-    # Only features that lean to a class by more than chance does enter the fit.
-    spread = np.sqrt(np.bincount(at, minlength=len(every)) * y.mean() * (1 - y.mean()))
-    pull = np.abs(np.bincount(at, (y - y.mean())[rows], len(every))) / np.maximum(spread, 1e-9)
-    kept = np.flatnonzero(pull > LEAST_LEAN)
-    if len(kept) > MOST_FEATURES:
-        kept = np.sort(kept[np.argsort(-pull[kept], kind="stable")[:MOST_FEATURES]])
+    # Only features that lean to a class by more than chance does enter the fit. The hashes are
+    # worked through by their first bits, which bounds the memory of sorting them.
+    kept, leans = [empty], [np.empty(0)]
+    for part in range(16):
+        own = np.flatnonzero(flat >> np.uint64(60) == part)
+        every, at, counts = np.unique(flat[own], return_inverse=True, return_counts=True)
+        spread = np.sqrt(counts * y.mean() * (1 - y.mean()))
+        lean = np.abs(np.bincount(at, (y - y.mean())[rows[own]], len(every))) / spread
+        some = (counts >= LEAST_TEXTS) & (lean > LEAST_LEAN)
+        kept.append(every[some])
+        leans.append(lean[some])
+    chosen, lean = np.concatenate(kept), np.concatenate(leans)
+    chosen = chosen[np.argsort(-lean, kind="stable")[:MOST_FEATURES]]
     terms, gone, come = _swaps()
-    vocabulary = np.unique(np.concatenate([every[kept], *gone, *come]))
-    if len(every):
-        place = np.full(len(every), -1)
-        place[kept] = np.searchsorted(vocabulary, every[kept])
-        also = np.isin(every, vocabulary)
-        place[also] = np.searchsorted(vocabulary, every[also])
-        at = place[at]
-        rows, at = rows[at >= 0], at[at >= 0]
+    vocabulary = np.unique(np.concatenate([chosen, *gone, *come]))
+    columns, lines = [], []
+    for part in np.array_split(np.arange(len(flat)), 16):
+        at = np.searchsorted(vocabulary, flat[part])
+        at[at == len(vocabulary)] = 0
+        known = vocabulary[at] == flat[part]
+        columns.append(at[known])
+        lines.append(rows[part][known])
+    at, rows = np.concatenate(columns), np.concatenate(lines)
 
     # A row for each text and identity term in it: what a swap takes and brings.
     columns, lines, values, n = [], [], [], 0
