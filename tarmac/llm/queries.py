@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tarmac.llm import decontaminate, language_id, order_minhash, secrets, sentencepiece_codec, toxicity, url_filter, warc
+from tarmac.llm import decontaminate, language_id, order_minhash, secrets, sentencepiece_codec, template, toxicity, url_filter, warc
 
 QUERIES = {
+    "op1_html_template": template.query,
     "op2_url_filter": url_filter.query,
     "op3_secrets": secrets.query,
     "op5_language_id": language_id.query,
