@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tarmac.llm import decontaminate, language_id, order_minhash, secrets, sentencepiece_codec, template, toxicity, url_filter, warc
+from tarmac.llm import decontaminate, language_id, nn_descent, order_minhash, secrets, sentencepiece_codec, template, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_html_template": template.query,
     "op2_url_filter": url_filter.query,
     "op3_secrets": secrets.query,
+    "op4_nn_descent": nn_descent.query,
     "op5_language_id": language_id.query,
     "op6_sentencepiece": sentencepiece_codec.query,
     "op7_decontaminate": decontaminate.query,
