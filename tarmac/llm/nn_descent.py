@@ -42,7 +42,10 @@ PER_MEETING = 4
 BEAM = 64
 ASKED = 16
 ROUNDS = 5
-PIVOTS = 64
+#: Entries to the graph for queries: so many nodes by a hash, and so many of the longest vectors.
+PIVOTS = 256
+LONG_PIVOTS = 64
+ENTRIES = 12
 #: Vectors, first by a hash of their ids, on which the trees' thresholds are set.
 SAMPLE = 10_000
 
@@ -237,7 +240,9 @@ def search(graph: DataFrame, nodes: DataFrame, asked: DataFrame, longest: float,
     """
     codes = stored(packed(nodes, longest), "codes")
     queries = stored(packed(asked, longest, query=True), "queries")
-    pivots = codes.orderBy(F.xxhash64("uid", F.lit(3)), "uid").limit(PIVOTS).toPandas()
+    long = nodes.orderBy(F.desc(dot(F.col("v"), F.col("v"))), "uid").limit(LONG_PIVOTS).select("uid")
+    some = codes.select("uid").orderBy(F.xxhash64("uid", F.lit(3)), "uid").limit(PIVOTS)
+    pivots = codes.join(F.broadcast(long.unionByName(some).distinct()), "uid").toPandas()  # a few hundred
     ids, places = pivots["uid"].to_numpy(), _unpacked(pivots["code"], width)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +250,7 @@ def search(graph: DataFrame, nodes: DataFrame, asked: DataFrame, longest: float,
             if not batch.num_rows or not len(ids):
                 continue
             s = _unpacked(batch.column("code").to_pylist(), width) @ places.T
-            k = min(4, len(ids))
+            k = min(ENTRIES, len(ids))
             near = np.argpartition(-s, k - 1, axis=1)[:, :k]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(batch.column("uid").to_numpy(), k)), pa.array(ids[near].ravel())], names=["q", "b"]
