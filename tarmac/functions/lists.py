@@ -20,22 +20,21 @@ def gather(worst: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _parts(flight: Column) -> list[Column]:
+    """Carrier, destination and minutes as text; a missing one is empty, so none shifts or drops."""
+    texts = (flight["carrier"], flight["dest"].cast("string"), flight["minutes"])
+    return [F.coalesce(text, F.lit("")) for text in texts]
+
+
 def bracketed(flights: Column) -> Column:
     """`[(AA,13303,1766.00), (DL,10397,90.00)]`, and `[]` when there are none."""
     items = F.transform(
-        flights,
-        lambda f: F.concat(
-            F.lit("("), f["carrier"], F.lit(","), f["dest"].cast("string"), F.lit(","),
-            f["minutes"], F.lit(")"),
-        ),
+        flights, lambda f: F.concat(F.lit("("), F.concat_ws(",", *_parts(f)), F.lit(")"))
     )
     return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
 
 
 def piped(flights: Column) -> Column:
     """`AA|13303|1766.00;DL|10397|90.00`, and empty text when there are none."""
-    items = F.transform(
-        flights,
-        lambda f: F.concat_ws("|", f["carrier"], f["dest"].cast("string"), f["minutes"]),
-    )
+    items = F.transform(flights, lambda f: F.concat_ws("|", *_parts(f)))
     return F.array_join(items, ";")

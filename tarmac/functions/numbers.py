@@ -51,7 +51,8 @@ def two_decimals(name: str) -> Column:
     Ties go to even, as printf does: 0.125 is 0.12 and 2.675 is 2.67, where Spark's own formatting
     rounds the shortest decimal half-up (0.13 and 2.68). size * 100 is kept as head + tail without
     error (the tail from a Dekker split of the size), so the rounding sees the exact number.
-    Values of 1e13 and more have no such room to spare and are far outside any delay.
+    Values of 1e13 and more have no such room to spare and are far outside any delay. Infinite
+    values and NaN print as inf, -inf and nan.
     """
     size = f"abs({name})"
     spread = f"({size} * 134217729D)"
@@ -65,6 +66,7 @@ def two_decimals(name: str) -> Column:
         f"({tail} > 0D OR ({tail} = 0D AND pmod({whole}, 2) = 1)))"
     )
     return F.expr(
-        f"concat(if({name} < 0D, '-', ''), "
-        f"format_string('%.2f', if({up}, {whole} + 1, {whole}) / 100D))"
+        f"CASE WHEN isnan({name}) THEN 'nan' WHEN {size} = double('inf') "
+        f"THEN if({name} < 0D, '-inf', 'inf') ELSE concat(if({name} < 0D, '-', ''), "
+        f"format_string('%.2f', if({up}, {whole} + 1, {whole}) / 100D)) END"
     ).alias(name)

@@ -22,8 +22,9 @@ from tarmac.sources.files import (
 )
 from tarmac.sources.lines import stream_lines
 from tarmac.streaming.lists import merge_candidates, worst_flights_stream
+from tarmac.streaming.replay import close_lines
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import all_of, each_batch, to_csv
+from tarmac.streaming.sinks import all_of, each_batch, finish, to_csv
 
 # The windows of the airport reports and the folders of the pre-aggregates.
 REPORT_SPANS = {"1h": WINDOWS_MS["1h"], "6h": WINDOWS_MS["6h"], "global": None}
@@ -42,15 +43,18 @@ def prepare(
 def carriers_by_hour(
     spark: SparkSession, lines: str, output: str, checkpoint: str,
     settings: Settings = DEFAULTS, files_per_trigger: int | None = None, by_hour: bool = False,
-    every: str | None = None,
+    every: str | None = None, close: bool = False,
 ) -> None:
     """Event lines -> hourly carrier statistics, appended as CSV.
 
     Stops when all lines are read, and goes on from there when run again; with `every` (say
-    "30 seconds") it keeps waiting for more.
+    "30 seconds") it keeps waiting for more. `close` ends the feed, so that the last hours come out
+    too; from then on, a run that finds new lines raises ClosedStreamError.
     """
+    if close:
+        close_lines(spark, lines)
     report = carrier_text(carrier_stream(stream_lines(spark, lines, files_per_trigger), settings))
-    to_csv(report, output, checkpoint, by_hour, every).awaitTermination()
+    finish(to_csv(report, output, checkpoint, by_hour, every))
 
 
 def airports(
@@ -71,12 +75,16 @@ def airports(
 def preaggregate(
     spark: SparkSession, lines: str, output_root: str, checkpoint_root: str,
     settings: Settings = DEFAULTS, files_per_trigger: int | None = None, lists: bool = False,
-    every: str | None = None,
+    every: str | None = None, close: bool = False,
 ) -> None:
     """Event lines -> per-(window, airport) statistics for 1 h, 6 h and 120 days.
 
-    `lists` also keeps the worst flights of each, as Parquet below <folder>_worst.
+    `lists` also keeps the worst flights of each, as Parquet below <folder>_worst. `close` ends the
+    feed, as for carriers_by_hour.
     """
+    if close:
+        close_lines(spark, lines)
+
     def source() -> DataFrame:
         return stream_lines(spark, lines, files_per_trigger)
 

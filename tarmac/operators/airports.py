@@ -36,10 +36,12 @@ def airport_stats(
 ) -> DataFrame:
     """One row per (window, airport) of flown flights; step None is one window over all of them.
 
+    Flights without an airport count nowhere.
     The whole-dataset window runs from the first flight to just after the last. Its bounds are
     taken from the airports' own first and last flights, so the events are read once and only
     one row per airport meets in the last step.
     """
+    flights = flights.where(F.col("origin").isNotNull())
     if step_ms is not None:
         stats = (
             flights.withColumn("ws", bucket_start(F.col("event_time"), step_ms))
@@ -77,7 +79,7 @@ def stats_for_spans(
     if any(step is not None and step % base for step in spans.values()):
         raise ValueError("longer windows must be multiples of the shortest")
     hours = (
-        flights.withColumn("slot", bucket_start(F.col("event_time"), base))
+        flights.where(F.col("origin").isNotNull()).withColumn("slot", bucket_start(F.col("event_time"), base))
         .groupBy("slot", "origin")
         .agg(
             *airport_measures(settings),
@@ -126,7 +128,8 @@ def rank_airports(
     """The top airports of each window: most severe delays first, then most flights.
 
     Equal airports rank by their first flight in the stream ("arrival") or by id ("airport").
-    Windows hold one row per airport, and the rank limit is applied before the shuffle too.
+    Windows hold one row per airport. Where the rows are not yet dealt out by window, the rank limit
+    is applied before that shuffle too.
     `min_flights` may set the least number of flights row by row.
     """
     order = [F.desc("severe"), F.desc("num")]

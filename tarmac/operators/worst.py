@@ -47,14 +47,12 @@ def worst_flights(
 def of_winners(severe: DataFrame, winners: DataFrame, keys=("ws", "origin")) -> DataFrame:
     """Left semi join of the flights with the ranked (window, airport) pairs.
 
-    `winners` must be settled. Past the broadcast bound the flights pass through unfiltered: the
-    lists are short by then and the join of lists to ranks leaves the others out anyway, which is
-    cheaper than shuffling every severe flight to find them.
+    `winners` must be settled. Up to the broadcast bound every executor gets the pairs; past it
+    both sides are shuffled, and adaptive execution splits the keys of busy airports.
     """
     pairs = winners.select(*keys)
-    if not fits_broadcast(pairs):
-        return severe
-    return severe.join(F.broadcast(pairs), list(keys), "left_semi")
+    pairs = F.broadcast(pairs) if fits_broadcast(pairs) else pairs
+    return severe.join(pairs, list(keys), "left_semi")
 
 
 def delayed_lists(worst: DataFrame, keys=KEYS) -> DataFrame:

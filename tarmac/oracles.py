@@ -179,11 +179,10 @@ SELECT {RANKING_TEXT}, coalesce(text, '[]') AS delayed_flights
 FROM ranked LEFT JOIN lists USING (ws, we, origin)"""
 
 
-DELAYED_LIST_TEXT = f"""WITH {FLIGHTS}, {airports("6h")},
-{ranking(least=1, top=100)}, {worst()}, {BRACKETS}
+DELAYED_LIST_TEXT = f"""WITH {FLIGHTS}, {airports("6h")}, {worst(source="airports")}, {BRACKETS}
 SELECT {stamp("ws")} AS ts, origin AS origin_airport_id, severe AS severe_delays,
   coalesce(text, '[]') AS delayed_flights
-FROM ranked LEFT JOIN lists USING (ws, we, origin)"""
+FROM airports LEFT JOIN lists USING (ws, we, origin)"""
 
 PREAGG_TOP20_TEXT = f"""WITH {FLIGHTS}, {airports("6h")}, {worst(source="airports")}, {PIPES}
 SELECT {PREAGG_COLUMNS}, coalesce(text, '') AS top_str
@@ -294,6 +293,16 @@ SELECT {stamp("ws")} AS window_start, {stamp("we")} AS window_end, origin AS air
   place, carrier, dest, dep_delay
 FROM worst"""
 
+def report_lines(report: str, quote: bool = False) -> str:
+    """The lines of a report file in its order; the list is quoted always or when it has commas."""
+    listed = """'"' || delayed_flights || '"'"""
+    if not quote:
+        listed = f"CASE WHEN contains(delayed_flights, ',') THEN {listed} ELSE delayed_flights END"
+    return f"""row_number() OVER (ORDER BY ts, rank) AS nth,
+  concat_ws(',', ts, rank, origin_airport_id, num_flights, severe_delays, dep_delay_mean,
+    dep_delay_max, {listed}) AS line FROM ({report})"""
+
+
 SIZES = ("1h", "6h", "global")
 
 ORACLES = {
@@ -326,7 +335,16 @@ SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
     "scan_csv_roundtrip": SCAN,
     "scan_csv_tolerant": SCAN_TOLERANT,
     "event_table_roundtrip": EVENT_TABLE,
+    "report_files_roundtrip": " UNION ALL ".join(
+        f"SELECT '{size}' AS span, {report_lines(report(size), quote=True)}" for size in SIZES
+    ),
+    "post_report_files_roundtrip": f"SELECT '6h' AS span, {report_lines(post_report('6h'))}",
+    "proc_hour_roundtrip": f"""WITH {FLIGHTS}, {carriers()}
+SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
+  {text2("cancellation_rate")} AS cancellation_rate,
+  {text2("late_departure_rate")} AS late_departure_rate) FROM stats""",
     "stream_q1": q1(),
+    "stream_q1_resumed": q1(),
     "stream_q1_late": LATE,
     **{f"stream_q2_preagg_{size}": preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": top_airports("6h"),

@@ -27,7 +27,7 @@ from tarmac.settings import DEFAULTS, Settings
 
 def severe_flights(flights: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The threshold goes first: it also rules out blank delays and can reach the scan."""
-    return flown(flights.where(is_severe(settings)))
+    return flown(flights.where(is_severe(settings) & F.col("origin").isNotNull()))
 
 
 def airport_ranking(
@@ -101,6 +101,16 @@ def airport_reports(
     return ranking_report(filled, bracketed(F.col("delayed")).alias("delayed_flights"), "span")
 
 
+def airport_lists(flights: DataFrame, step_ms: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """Every (window, airport) with flights, unranked, each with the array of its worst flights."""
+    keys = ["ws", "origin"]
+    worst = worst_flights(
+        with_window(severe_flights(flights, settings), step_ms), settings, keys=keys
+    )
+    stats = airport_stats(flown(flights), step_ms, settings)
+    return attach_lists(stats, delayed_lists(worst, keys), keys)
+
+
 def airport_preagg(flights: DataFrame, step_ms: int, settings: Settings = DEFAULTS) -> DataFrame:
     """The per-(window, airport) pre-aggregate: seven plain columns."""
     return preagg_report(airport_stats(flown(flights), step_ms, settings))
@@ -110,10 +120,5 @@ def airport_preagg_lists(
     flights: DataFrame, step_ms: int, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """The pre-aggregate with the text list of each airport's worst flights in the window."""
-    keys = ["ws", "origin"]
-    worst = worst_flights(
-        with_window(severe_flights(flights, settings), step_ms), settings, keys=keys
-    )
-    stats = airport_stats(flown(flights), step_ms, settings)
-    filled = attach_lists(stats, delayed_lists(worst, keys), keys)
+    filled = airport_lists(flights, step_ms, settings)
     return preagg_report(filled, piped(F.col("delayed")).alias("top_str"))

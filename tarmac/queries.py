@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarmac.functions.lists import bracketed
 from tarmac.functions.times import stamp
 from tarmac.operators.airports import (
     airport_stats,
@@ -23,6 +24,7 @@ from tarmac.operators.airports import (
 from tarmac.operators.carriers import carrier_text, hourly_carrier_stats
 from tarmac.operators.flights import flown
 from tarmac.plans.airports import (
+    airport_lists,
     airport_preagg,
     airport_preagg_lists,
     airport_ranking,
@@ -35,7 +37,15 @@ from tarmac.plans.prepare import prepare_events, with_event_time
 from tarmac.schema import EVENTS, MONTHLY
 from tarmac.session import scratch, settle
 from tarmac.settings import DEFAULTS, WINDOWS_MS, Settings
-from tarmac.sinks.files import ranking_text, write_event_table, write_events, write_preagg
+from tarmac.sinks.files import (
+    ranking_text,
+    write_by_hour,
+    write_event_table,
+    write_events,
+    write_preagg,
+    write_ranking,
+    write_rankings,
+)
 from tarmac.sources.files import (
     read_flights,
     read_flights_tolerant,
@@ -55,7 +65,7 @@ from tarmac.sources.tables import damaged_lines, table_flights, table_monthly
 from tarmac.streaming.lists import merge_candidates, worst_flights_stream
 from tarmac.streaming.replay import feed, write_replay
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import each_batch, to_csv
+from tarmac.streaming.sinks import each_batch, finish, to_csv
 
 STEPS = {"1h": WINDOWS_MS["1h"], "6h": WINDOWS_MS["6h"], "global": None}
 MIN_FLIGHTS = {"1h": 2, "6h": 3, "global": 30}
@@ -106,9 +116,10 @@ def all_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 def delayed_list_text(spark: SparkSession, folder: str) -> DataFrame:
     """Every airport with flights in the window gets a list, the empty ones too."""
-    return airport_report(
-        table_flights(spark, folder), STEPS["6h"], replace(DEFAULTS, min_flights=1, top_k=100)
-    ).select("ts", "origin_airport_id", "severe_delays", "delayed_flights")
+    return airport_lists(table_flights(spark, folder), STEPS["6h"]).select(
+        stamp(F.col("ws")).alias("ts"), F.col("origin").alias("origin_airport_id"),
+        F.col("severe").alias("severe_delays"), bracketed(F.col("delayed")).alias("delayed_flights"),
+    )
 
 
 def preagg(size: str):
@@ -237,6 +248,49 @@ def event_table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select(*EVENTS.fieldNames(), "seq")
 
 
+# Sinks: files read back as lines, in the order of the files and of the lines in them
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of short report files: which file, which line of it (from 1), and its text."""
+    lines = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), "*"
+    )
+    split = lines.select("file", F.posexplode(F.split(F.rtrim("value", F.lit("\n")), "\n")))
+    return split.where("col <> ''").select("file", F.col("pos").alias("at"), F.col("col").alias("line"))
+
+
+def _in_order(lines: DataFrame, *within: str) -> DataFrame:
+    """Data lines numbered from 1 as the sorted files hold them, headers left out."""
+    order = Window.partitionBy(*within).orderBy("file", "at")
+    data = lines.where("at > 0")
+    return data.select(*within, F.row_number().over(order).cast("bigint").alias("nth"), "line")
+
+
+def report_files_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The quoted reports of all windows, line by line."""
+    path = scratch(spark, "rankings")
+    write_rankings(airport_reports(table_flights(spark, folder), STEPS, DEFAULTS, MIN_FLIGHTS), path)
+    lines = _numbered_lines(spark, path)
+    return _in_order(lines.withColumn("span", F.regexp_extract("file", "/span=([^/]*)/", 1)), "span")
+
+
+def post_report_files_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from pre-aggregates, quoted by need, line by line."""
+    path = scratch(spark, "ranking")
+    stored = stored_preagg(spark, folder, "6h")
+    write_ranking(report_from_preagg(stored, table_flights(spark, folder), False, settings_for("6h")), path)
+    return _in_order(_numbered_lines(spark, path).withColumn("span", F.lit("6h")), "span")
+
+
+def proc_hour_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Carrier reports below the hour they were written in; the hour itself is left out."""
+    path = scratch(spark, "by-hour")
+    report = carrier_text(hourly_carrier_stats(table_flights(spark, folder)))
+    write_by_hour(report, path)
+    return spark.read.schema(report.schema).csv(f"{path}/proc_hour=*")
+
+
 # Streams
 
 
@@ -251,18 +305,18 @@ class Replayed:
 
     def write(self, folder: str) -> "Replayed":
         events = table_monthly(table_flights(self.spark, folder))
-        self.files = write_replay(events, self.lines)
+        self.files = write_replay(events, self.lines, close=True)
         return self
 
     def stream(self) -> DataFrame:
         return stream_lines(self.spark, self.lines, -(-self.files // MICRO_BATCHES))
 
     def csv(self, stream: DataFrame) -> DataFrame:
-        to_csv(stream, self.out, self.checkpoint).awaitTermination()
+        finish(to_csv(stream, self.out, self.checkpoint))
         return self.spark.read.schema(stream.schema).csv(self.out)
 
     def per_batch(self, stream: DataFrame, report) -> DataFrame:
-        each_batch(stream, self.out, self.checkpoint, report).awaitTermination()
+        finish(each_batch(stream, self.out, self.checkpoint, report))
         return self.spark.read.parquet(self.out).drop("batch")
 
 
@@ -284,6 +338,20 @@ def stream_q1_late(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(report.schema).csv(replayed.out)
 
 
+def stream_q1_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """The feed comes in two stretches of time, a run of the stream after each, then its end."""
+    events = table_monthly(table_flights(spark, folder))
+    middle = events.agg(F.expr("percentile_approx(event_time, 0.5)")).first()[0]
+    replayed = Replayed(spark, "q1-resumed")
+    to_lines(events.limit(0)).write.text(replayed.lines)
+    report = carrier_stream(stream_lines(spark, replayed.lines))
+    early = F.col("event_time") < middle
+    for lines in (to_lines(events.where(early)), to_lines(events.where(~early)), end_line(spark)):
+        lines.write.mode("append").text(replayed.lines)
+        replayed.csv(report)
+    return spark.read.schema(report.schema).csv(replayed.out)
+
+
 def stream_preagg(size: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         replayed = Replayed(spark, f"preagg-{size}").write(folder)
@@ -346,8 +414,12 @@ QUERIES = {
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "scan_csv_tolerant": scan_csv_tolerant,
     "event_table_roundtrip": event_table_roundtrip,
+    "report_files_roundtrip": report_files_roundtrip,
+    "post_report_files_roundtrip": post_report_files_roundtrip,
+    "proc_hour_roundtrip": proc_hour_roundtrip,
     "stream_q1": stream_q1,
     "stream_q1_late": stream_q1_late,
+    "stream_q1_resumed": stream_q1_resumed,
     **{f"stream_q2_preagg_{size}": stream_preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": stream_q2_top_airports_6h,
     "stream_q2_top20_120d": stream_q2_top20_120d,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tarmac", master: str | None = None, **conf: str) -> SparkSession:
@@ -73,6 +75,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits_broadcast(settled: DataFrame, max_rows: int = 200_000) -> bool:
-    """Whether a settled frame of narrow rows is small enough to ship to every executor."""
-    return settled.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(settled: DataFrame, max_bytes: int = 8 << 20) -> bool:
+    """Whether a settled frame is small enough to ship to every executor.
+
+    Bytes are counted as fixed-width fields of the row format; a text counts with its length.
+    """
+    wide = 8 * (len(settled.columns) + 1)
+    texts = [name for name, kind in settled.dtypes if kind == "string"]
+    more = [F.coalesce(F.octet_length(name), F.lit(0)) for name in texts]
+    size = F.sum(functools.reduce(lambda a, b: a + b, more, F.lit(wide).cast("long")))
+    return (settled.agg(size).first()[0] or 0) <= max_bytes

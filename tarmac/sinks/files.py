@@ -54,14 +54,14 @@ def write_rankings(reports: DataFrame, path: str) -> None:
     """Reports of several windows in one go: a folder per `span`, each in order.
 
     The list is always quoted here, the empty one too. The CSV writer quotes by need or
-    everything, so it gets finished lines as its only column, named after the header.
+    everything, so it gets finished lines as its only column, named after the header. A missing
+    value is an empty field.
     """
     order = ["span", "ts", "rank"]
     names = [name for name in reports.columns if name != "span"]
-    fields = [
-        F.concat(F.lit('"'), F.col(name), F.lit('"')) if name == "delayed_flights" else F.col(name)
-        for name in names
-    ]
+    texts = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names}
+    texts["delayed_flights"] = F.concat(F.lit('"'), texts["delayed_flights"], F.lit('"'))
+    fields = list(texts.values())
     (
         ranking_text(reports).repartitionByRange(*order).sortWithinPartitions(*order)
         .select("span", F.concat_ws(",", *fields).alias(",".join(names)))

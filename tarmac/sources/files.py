@@ -93,7 +93,7 @@ def read_monthly(
     for header, paths in _layouts(spark, files, header_per).items():
         scan = (
             spark.read.option("header", True).option("enforceSchema", False)
-            .schema(_typed(header, known)).csv(paths)
+            .option("mode", "FAILFAST").schema(_typed(header, known)).csv(paths)
         )
         wanted = [field.name for field in MONTHLY if field.name in header]
         month = scan.select(*wanted, *(_source(_tail(files)) if with_source else []))
@@ -105,13 +105,17 @@ def read_monthly(
 
 
 def _event_scan(spark: SparkSession, path: str, as_text: bool) -> DataFrame:
-    """All parts of one event file share a header; Spark checks each part against it."""
+    """All parts of one event file share a header; Spark checks each part against it.
+
+    Read as numbers, a field that is none ends the read; blank is NULL.
+    """
     first = spark.read.option("header", True).csv(path).columns
     known = T.StructType([*EVENTS.fields, T.StructField("seq", T.LongType())])
     if as_text:
         known = T.StructType([])
     return (
         spark.read.option("header", True).option("enforceSchema", False)
+        .option("mode", "PERMISSIVE" if as_text else "FAILFAST")
         .schema(_typed(tuple(first), known)).csv(path)
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +27,15 @@ def _split(lines: DataFrame) -> DataFrame:
 
 
 def _convert(parts: DataFrame, columns: dict[str, Column], needed: list[str]) -> DataFrame:
-    """Convert each line once and keep those whose needed fields are readable.
+    """Convert each line once and keep those whose needed fields are readable ("nan" is).
 
     The conversion is a one-row generator, as is the split above. A filter on plain projected
     columns would move below the projection with a copy of every conversion, and of the split,
     for each column it tests: many times the work per line.
     """
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return parts.select(F.inline(F.array(row))).dropna(subset=needed)
+    readable = functools.reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in needed])
+    return parts.select(F.inline(F.array(row))).where(readable)
 
 
 def _field(name: str) -> Column:

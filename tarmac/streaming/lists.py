@@ -17,7 +17,7 @@ from tarmac.functions.times import bucket_start
 from tarmac.operators.flights import is_severe
 from tarmac.operators.worst import worst_flights
 from tarmac.settings import DEFAULTS, Settings
-from tarmac.sources.lines import parse_airport_flights
+from tarmac.sources.lines import END_CARRIER, parse_airport_flights
 from tarmac.streaming.reports import in_event_time, tumbling
 
 _FLIGHT = ["dep_delay", "seq", "event_time", "carrier", "dest"]
@@ -44,7 +44,7 @@ def worst_flights_stream(
     """
     length = settings.list_length
     flights = parse_airport_flights(lines, keep_end=True).where(
-        is_severe(settings) | (F.col("origin") < 0)
+        is_severe(settings) | (F.col("carrier") == END_CARRIER)
     )
     in_window = flights.select(
         "origin", bucket_start(F.col("event_time"), step_ms).alias("ws"), *_FLIGHT

@@ -14,14 +14,14 @@ from tarmac.sources.lines import end_line, to_lines
 
 
 def write_replay(
-    events: DataFrame, path: str, files: int | None = None, close: bool = True
+    events: DataFrame, path: str, files: int | None = None, close: bool = False
 ) -> int:
     """Write the events as line files, one stretch of event time each, and return their number.
 
     One range-partitioned pass, by default into as many files as a shuffle has partitions. The
     stream source reads the oldest file first, so the files get modification times in event order
     afterwards (tasks finish in any order). `close` adds the line that makes the stream emit its
-    last windows.
+    last windows, see `close_lines`.
     """
     spark = events.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -31,10 +31,19 @@ def write_replay(
     to_lines(ordered).write.text(path)
     written = _date_in_order(spark, path)
     if close:
-        end_line(spark).write.mode("append").text(path)
+        close_lines(spark, path)
     return written
 
 
+def close_lines(spark: SparkSession, path: str) -> None:
+    """End the event time of a feed for good: the next run emits the last windows.
+
+    A query that has read this line counts everything later as late, so it refuses to go on
+    (`streaming.sinks.finish`). Start again from a new checkpoint to read a feed that grew.
+    """
+    end_line(spark).write.mode("append").text(path)
+
+
 def _date_in_order(spark: SparkSession, path: str) -> int:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -11,6 +11,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: Watermarks from here on (as progress reports print them) come from the end line.
+CLOSED = "9998"
+
+
+class ClosedStreamError(RuntimeError):
+    """Lines came to a query whose event time had been ended."""
+
+
+def finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait for a query; raise if it read lines after the one that ends event time.
+
+    Such lines are late, whatever their time, and would be dropped without a word.
+    """
+    query.awaitTermination()
+    for progress in query.recentProgress:
+        mark = (progress["eventTime"] or {}).get("watermark", "")
+        if progress["numInputRows"] and mark >= CLOSED:
+            raise ClosedStreamError(
+                f"{progress['numInputRows']} lines came after the end of the stream; "
+                "read the feed again with a new checkpoint"
+            )
+    return query
+
 
 def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
@@ -57,5 +80,5 @@ def all_of(starts: dict[str, Callable[[], StreamingQuery]]) -> dict[str, Streami
     """Start one query per window size over the same lines and wait for all of them."""
     queries = {name: start() for name, start in starts.items()}
     for query in queries.values():
-        query.awaitTermination()
+        finish(query)
     return queries

@@ -26,6 +26,7 @@ def column(spark, values, kind, expression):
 def test_two_decimals_matches_printf(spark):
     rng = random.Random(7)
     values = [0.125, 0.375, 2.675, 1.005, -0.001, -2.5, 0.0, 0.005, 1e9 + 0.125, 99.995, 1766.0]
+    values += [float("inf"), float("-inf"), float("nan")]
     values += [rng.randint(-5000, 500000) / rng.randint(1, 3000) for _ in range(3000)]
     values += [rng.randint(-10**6, 10**6) / 1000 for _ in range(3000)]
     values += [rng.randint(-(2**20), 2**20) / 1024 for _ in range(3000)]
@@ -98,3 +99,11 @@ def test_list_text(spark):
     assert tuple(row) == ("[(AA,13303,1766.00), (DL,10397,90.00)]", "AA|13303|1766.00;DL|10397|90.00")
     empty = lists.select(F.slice("delayed", 1, 0).alias("d"))
     assert tuple(empty.select(bracketed(F.col("d")), piped(F.col("d"))).first()) == ("[]", "")
+
+
+def test_lists_keep_flights_with_missing_fields(spark):
+    rows = [("a", 1, "AA", 5, 90.0), ("a", 2, None, 6, 60.5), ("a", 3, "DL", None, 45.0), ("a", 4, None, None, 31.0)]
+    worst = spark.createDataFrame(rows, "k string, place int, carrier string, dest int, dep_delay double")
+    got = gather(worst, ["k"]).select(bracketed(F.col("delayed")), piped(F.col("delayed"))).first()
+    assert got[0] == "[(AA,5,90.00), (,6,60.50), (DL,,45.00), (,,31.00)]"
+    assert got[1] == "AA|5|90.00;|6|60.50;DL||45.00;||31.00"

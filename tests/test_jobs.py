@@ -36,7 +36,7 @@ def world(spark, tmp_path_factory):
     events = events.select(
         *[F.col(f.name).cast(f.dataType) for f in EVENTS], F.col("seq").cast("bigint")
     )
-    write_replay(events, f"{root}/lines", 3)
+    write_replay(events, f"{root}/lines", 3, close=True)
     return root
 
 

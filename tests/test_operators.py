@@ -227,4 +227,7 @@ def test_report_from_preaggregates_agrees_with_the_direct_one(flights):
 
 def test_broadcast_bound(spark):
     settled = settle(spark.range(11))
-    assert fits_broadcast(settled, 11) and not fits_broadcast(settled, 10)
+    assert fits_broadcast(settled, 11 * 16) and not fits_broadcast(settled, 11 * 16 - 1)
+    text = settle(spark.range(3).select(F.lit("x" * 100).alias("t")))
+    assert fits_broadcast(text, 3 * 116) and not fits_broadcast(text, 3 * 116 - 1)
+    assert fits_broadcast(settled.where("false"), 0)

@@ -25,6 +25,7 @@ def table(spark, flights):
 
 
 def plan_of(frame) -> str:
+    frame.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else filters are cut off
     return frame._jdf.queryExecution().executedPlan().toString()
 
 

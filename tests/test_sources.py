@@ -188,12 +188,35 @@ def test_event_file_scans(spark, tmp_path):
     columns = EVENTS.fieldNames()
     bad = line(DEP_DELAY="abc").split(",")
     blank = line(DEP_DELAY="", CANCELLED="").split(",")
-    month_file(tmp_path, "events.csv", columns, GOOD.split(","), bad, blank)
+    month_file(tmp_path, "events.csv", columns, GOOD.split(","), blank)
     typed = read_flights(spark, str(tmp_path / "events.csv")).orderBy("seq").collect()
-    assert [r.dep_delay for r in typed] == [20.0, None, None]
+    assert [r.dep_delay for r in typed] == [20.0, None] and [r.seq for r in typed] == [0, 1]
+    month_file(tmp_path, "events.csv", columns, GOOD.split(","), bad, blank)
     tolerant = read_flights_tolerant(spark, str(tmp_path / "events.csv")).orderBy("seq").collect()
     assert [(r.dep_delay, r.cancelled) for r in tolerant] == [(20.0, 0.0), (0.0, 0.0)]
-    assert [r.seq for r in typed] == [0, 1, 2] and [r.seq for r in tolerant] == [0, 1]
+    assert [r.seq for r in tolerant] == [0, 1]
+
+
+@pytest.mark.parametrize(
+    "wrong", [{"DEP_DELAY": "abc"}, {"event_time": "xx"}, {"ORIGIN_AIRPORT_ID": "x"}, {"CANCELLED": "no"}]
+)
+def test_typed_scan_fails_on_unreadable_numbers(spark, tmp_path, wrong):
+    month_file(tmp_path, "events.csv", EVENTS.fieldNames(), GOOD.split(","), line(**wrong).split(","))
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|malformed|Malformed"):
+        read_flights(spark, str(tmp_path / "events.csv")).collect()
+
+
+@pytest.mark.parametrize("wrong", [{"CRS_DEP_TIME": "xx"}, {"DAY_OF_MONTH": "x"}, {"DEP_DELAY": "abc"}])
+def test_monthly_scan_fails_on_unreadable_numbers(spark, tmp_path, wrong):
+    columns = EVENTS.fieldNames()[:-1]
+    month_file(tmp_path, "2025_01.csv", columns, line(**wrong).split(",")[:-1])
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE|malformed|Malformed"):
+        read_monthly(spark, str(tmp_path)).collect()
+
+
+def test_nan_and_infinite_delays_are_delays(spark):
+    got = parse_carrier_flights(lines(spark, GOOD, line(DEP_DELAY="nan"), line(DEP_DELAY="inf")))
+    assert got.count() == 3 and got.where(F.isnan("dep_delay")).count() == 1
 
 
 def test_event_file_without_places_keeps_its_order(spark, tmp_path):

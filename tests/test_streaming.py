@@ -13,7 +13,7 @@ from tarmac.sources.tables import table_monthly
 from tarmac.streaming.lists import merge_candidates, worst_flights_stream
 from tarmac.streaming.replay import feed, write_replay
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import all_of, each_batch, to_csv
+from tarmac.streaming.sinks import ClosedStreamError, all_of, each_batch, finish, to_csv
 
 
 def same(left, right):
@@ -37,7 +37,7 @@ def test_replay_files_hold_the_events_in_order(spark, flights):
 def test_streams_equal_batches(spark, flights):
     root = scratch(spark, "streams")
     lines = f"{root}/lines"
-    write_replay(table_monthly(flights), lines, 3)
+    write_replay(table_monthly(flights), lines, 3, close=True)
     sizes = {"1h": HOUR_MS, "6h": 6 * HOUR_MS, "120d": 120 * DAY_MS}
     streams = {
         name: preagg_report(airport_stream(stream_lines(spark, lines, 1), step))
@@ -66,7 +66,7 @@ def test_streamed_lists_equal_batch_lists(spark, flights):
     """A list of three over a 120-day window: every state trims, in every micro-batch."""
     settings, step = Settings(list_length=3), 120 * DAY_MS
     root = scratch(spark, "lists")
-    write_replay(table_monthly(flights), f"{root}/lines", 3)
+    write_replay(table_monthly(flights), f"{root}/lines", 3, close=True)
     stream = worst_flights_stream(stream_lines(spark, f"{root}/lines", 1), step, settings)
     each_batch(
         stream, f"{root}/out", f"{root}/state", lambda batch: merge_candidates(batch, settings)
@@ -76,6 +76,22 @@ def test_streamed_lists_equal_batch_lists(spark, flights):
     assert got.count() > 20 and same(got, want)
 
 
+def test_a_closed_stream_refuses_more_lines(spark, flights):
+    root = scratch(spark, "closed")
+    events = table_monthly(flights)
+    write_replay(events.where("seq < 300"), f"{root}/lines", 2, close=True)
+    report = carrier_stream(stream_lines(spark, f"{root}/lines"))
+
+    def run():
+        finish(to_csv(report, f"{root}/out", f"{root}/state"))
+
+    run()
+    run()  # nothing new
+    to_lines(events.where("seq >= 300")).write.mode("append").text(f"{root}/lines")
+    with pytest.raises(ClosedStreamError):
+        run()
+
+
 def test_late_rows(spark):
     """Late rows of an emitted hour are dropped; those of an open hour still count."""
     root = scratch(spark, "late")
