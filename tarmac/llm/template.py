@@ -262,7 +262,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def contents(found: DataFrame) -> DataFrame:
-    """(host, roots, vectors): the content elements of each template, and its classes nested.
+    """(host, roots, classes): the content elements of each template, and its classes nested.
 
     `classes` lists the template's classes as path lists, each class after the class it nests in.
     """
