@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import table
+from tarmac.session import stored
 
 #: Host, path, verdict.
 RULES = [
@@ -109,7 +110,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) ->
         F.concat("rule_host", "rule_path").alias("rule"),
         "verdict",
     )
-    best = hits.groupBy("host", "path").agg(F.max(rank).alias("best"))
+    # Stored, so that the join below can split the rows of a URL that very many share.
+    best = stored(hits.groupBy("host", "path").agg(F.max(rank).alias("best")), "judged")
     return rows.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import small_batches, table
-from tarmac.session import scratch
+from tarmac.session import scratch, stored
 
 #: Bytes of records in a frame, and of compressed frames in a bundle, before the next begins.
 FRAME_BYTES = 256 << 10
@@ -84,9 +84,11 @@ def plan_records(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
     )
     # The others, by their narrow columns alone.
     narrow = shared.groupBy("digest", "n_bytes", "page_id", "url").agg(F.count("*").alias("copies"))
-    firsts = (
+    # Stored, so that the join below can split the rows of a digest that very many share.
+    firsts = stored(
         shared.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("rows"))
-        .where("rows > 1").select("digest", "first")
+        .where("rows > 1").select("digest", "first"),
+        "firsts",
     )
     extra = F.col("copies") - (place == F.col("first")).cast("long")
     revisits = (
