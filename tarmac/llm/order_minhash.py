@@ -8,9 +8,8 @@ similarity. Texts with the same words are one: only the first is sketched on.
 Texts that share an entry form a bucket. Each is compared with the bucket's hub, its member that
 shares entries with most others; so a bucket costs its size. What is left are members unlike their
 hub. In small buckets, all pairs of different classes are compared. Members of large ones are
-joined on their rarest shingles: two texts with similarity 0.8 share one of the first n / 5 + 1 in
-any order, and the places of the shared one bound the similarity, so no pair is lost and few
-are made.
+joined on what sets them apart from their hub (see by_differences): similar texts of which one is
+unlike the hub share differences, the rare ones suffice to find them, and no pair is lost.
 
 A pair is confirmed by aligning its words in a band of diagonals: matched runs of L >= 5 words share
 L - 4 shingles, and the shared ones over all must reach SIMILARITY. Classes are the connected
@@ -38,6 +37,8 @@ KEPT = 3
 #: In buckets of up to this many members, members unlike the hub are compared pair by pair.
 SMALL_BUCKET = 24
 
+#: Shingles in which two texts of SIMILARITY differ, over the shingles of both.
+_APART = (1 - SIMILARITY) / (1 + SIMILARITY)
 _SEEDS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -243,14 +244,21 @@ def hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored buckets (key, uid, size, members, hub) of two and more, and the pairs with the hub.
 
     `members` has key, uid and size. A member's weight is the number of texts it meets in all its
-    buckets; the heaviest is the hub. Sums and maxima are taken before the shuffles.
+    buckets; the heaviest is the hub. Sums and maxima are taken before the shuffles. What was summed
+    by key is stored before it is joined by key: straight from the sum, Spark could not split a
+    large key in the join.
     """
-    counts = members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    counts = stored(
+        members.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "counts"
+    )
     shared = members.join(counts, "key")
     weights = shared.groupBy("uid").agg(F.sum("members").alias("weight"))
     shared = stored(shared.join(weights, "uid"), "buckets")
-    hubs = shared.groupBy("key").agg(
-        F.max(F.struct("weight", F.negative("uid").alias("least"), "size")).alias("hub")
+    hubs = stored(
+        shared.groupBy("key").agg(
+            F.max(F.struct("weight", F.negative("uid").alias("least"), "size")).alias("hub")
+        ),
+        "heaviest",
     )
     buckets = stored(
         shared.join(hubs, "key").select(
@@ -265,6 +273,88 @@ def hub_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return buckets, pairs
 
 
+def differences(x: np.ndarray, hub: np.ndarray) -> np.ndarray:
+    """What a text's labelled shingles have more or less than its hub's, told apart by hash."""
+    x, hub = labelled(shingles(x)), labelled(shingles(hub))
+    return np.concatenate([
+        np.setdiff1d(x, hub, assume_unique=True),
+        mix(np.setdiff1d(hub, x, assume_unique=True) ^ np.uint64(0x5851F42D4C957F2D)),
+    ])
+
+
+def by_differences(members: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different labels with one hub that may be similar.
+
+    `members` has uid, hub and their labels; the hub may be any text. Members that are like it but
+    carry another label are paired with it.
+
+    With d the number of a text's differences from the hub and n its shingles, two texts are similar
+    if their differences differ in no more than (n + n') / 9; so they share at least half of
+    d + d' - (n + n') / 9. For a text unlike the hub, with d = (n + h) / 9 + e, that is 0.9 e or
+    more whatever the other one is; for a text like the hub, 4 d / 9 with any text unlike it. A
+    difference of one text alone is shared with none. Similarity here is that of sets, which bounds the
+    aligned one. So of the others, rarest first, all but the
+    last few suffice to meet every partner, and places among them bound what can be shared.
+    """
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, sizes, least, like = [], [], [], []
+            for x, hub in zip(batch.column("x"), batch.column("y")):
+                x, hub = (np.frombuffer(w.as_py(), "<u4").astype(np.uint64) for w in (x, hub))
+                own = differences(x, hub)
+                n, h = len(x) - SHINGLE_WORDS + 1, len(hub) - SHINGLE_WORDS + 1
+                beyond = len(own) - (n + h) * _APART
+                lists.append(own.astype(np.int64))
+                like.append(beyond <= 1e-9)
+                sizes.append(n)
+                least.append(max(1, int(np.ceil((0.9 * beyond if beyond > 0 else 4 / 9 * len(own)) - 1e-9))))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.select(["uid", "hub", "label", "hub_label"]).columns,
+                    pa.array(sizes, pa.int32()), pa.array([len(t) for t in lists], pa.int32()),
+                    pa.array(least, pa.int32()), pa.array(like, pa.bool_()), pa.array(lists, pa.list_(pa.int64())),
+                ],
+                names=["uid", "hub", "label", "hub_label", "n", "d", "least", "like", "tokens"],
+            )
+
+    told = stored(
+        members.join(words.select("uid", F.col("words").alias("x")), "uid")
+        .join(words.select(F.col("uid").alias("hub"), F.col("words").alias("y")), "hub")
+        .select("uid", "hub", "label", "hub_label", "x", "y")
+        .mapInArrow(
+            tell,
+            "uid long, hub long, label long, hub_label long, n int, d int, least int, like boolean, "
+            "tokens array<long>",
+        ),
+        "differences",
+    )
+    tokens = told.select("uid", "hub", "label", "n", "d", "least", F.explode("tokens").alias("token"))
+    counts = stored(
+        tokens.groupBy("hub", "token").agg(F.count("*").alias("texts")).where("texts > 1"), "counts"
+    )
+    of_text = Window.partitionBy("uid", "hub")
+    placed = (
+        tokens.join(counts, ["hub", "token"])
+        .withColumn("place", F.row_number().over(of_text.orderBy("texts", "token")))
+        .withColumn("rest", F.count("*").over(of_text) - F.col("place"))
+    )
+    first = stored(
+        placed.where(F.col("rest") + 1 >= F.col("least")).select("hub", "token", "uid", "label", "n", "d", "place", "rest"),
+        "rare",
+    )
+    other = first.select("hub", "token", *[F.col(c).alias(f"{c}_2") for c in ("uid", "label", "n", "d", "place", "rest")])
+    bound = F.least("place", "place_2") + F.least("rest", "rest_2")
+    need = (F.col("d") + F.col("d_2") - (F.col("n") + F.col("n_2")) * _APART) / 2 - 1e-9
+    shared = first.join(other, ["hub", "token"]).where("uid < uid_2 and label <> label_2").where(
+        _fits("n", "n_2") & (bound >= need)
+    ).select(F.col("uid").alias("a"), F.col("uid_2").alias("b"))
+    with_hub = told.where("like and label <> hub_label").select(
+        F.least("uid", "hub").alias("a"), F.greatest("uid", "hub").alias("b")
+    )
+    return shared.unionByName(with_hub).distinct()
+
+
 def left_pairs(buckets: DataFrame, labels: DataFrame, words: DataFrame) -> DataFrame:
     """Pairs (a, b) of different classes that share a bucket and may be similar.
 
@@ -273,9 +363,11 @@ def left_pairs(buckets: DataFrame, labels: DataFrame, words: DataFrame) -> DataF
     marked = buckets.join(
         labels.select(F.col("node").alias("uid"), "label"), "uid", "left"
     ).withColumn("label", F.coalesce("label", "uid"))
-    mixed = marked.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("low <> high").select("key")
+    mixed = stored(
+        marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("key"),
+        "mixed",
+    )
     marked = stored(marked.join(mixed, "key").select("key", "uid", "size", "members", "hub", "label"), "left")
 
     small = marked.where(F.col("members") <= SMALL_BUCKET)
@@ -284,41 +376,20 @@ def left_pairs(buckets: DataFrame, labels: DataFrame, words: DataFrame) -> DataF
         "uid < uid_2 and label <> label_2 and uid <> hub and uid_2 <> hub"
     ).where(_fits("size", "size_2")).select(F.col("uid").alias("a"), F.col("uid_2").alias("b")).distinct()
 
-    # Large buckets: occurrence-labelled shingles, rarest first, as many as cannot all be missed.
-    large = marked.where(F.col("members") > SMALL_BUCKET).select("uid", "size", "label").distinct()
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [
-                labelled(shingles(np.frombuffer(w.as_py(), "<u4").astype(np.uint64))).astype(np.int64)
-                for w in batch.column("words")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.select(["uid", "size", "label"]).columns, pa.array(lists, pa.list_(pa.int64()))],
-                names=["uid", "size", "label", "tokens"],
-            )
-
-    listed = large.join(words, "uid").select("uid", "size", "label", "words").mapInArrow(
-        explode, "uid long, size int, label long, tokens array<long>"
+    large = marked.where(F.col("members") > SMALL_BUCKET)
+    hubs = large.where("uid = hub").select("hub", F.col("label").alias("hub_label"), "members")
+    # Buckets whose hubs are linked refer to one of them, the hub of the largest.
+    heads = stored(
+        hubs.groupBy("hub_label").agg(F.max(F.struct("members", "hub")).alias("head"))
+        .select("hub_label", F.col("head.hub").alias("head")),
+        "heads",
     )
-    tokens = listed.select("uid", "size", "label", F.explode("tokens").alias("token"))
-    # A token of one text alone pairs nothing but takes its place in the order.
-    counts = tokens.groupBy("token").agg(F.count("*").alias("texts"))
-    placed = tokens.join(counts, "token").withColumn(
-        "place", F.row_number().over(Window.partitionBy("uid").orderBy("texts", "token"))
+    of_hub = stored(hubs.select("hub", "hub_label").distinct().join(heads, "hub_label"), "references")
+    far = by_differences(
+        large.join(of_hub, "hub").select("uid", F.col("head").alias("hub"), "label", "hub_label")
+        .where("uid <> hub").distinct(),
+        words,
     )
-    first = stored(
-        placed.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1)
-        .where("texts > 1").select("token", "uid", "size", "label", "place"),
-        "rare",
-    )
-    other = first.select("token", *[F.col(c).alias(f"{c}_2") for c in ("uid", "size", "label", "place")])
-    # From a shared shingle on, no more can be shared than follow it in the shorter rest.
-    bound = F.least(F.col("size") - F.col("place"), F.col("size_2") - F.col("place_2")) + F.least("place", "place_2")
-    need = (F.col("size") + F.col("size_2")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
-    far = first.join(other, "token").where("uid < uid_2 and label <> label_2").where(
-        _fits("size", "size_2") & (bound >= need)
-    ).select(F.col("uid").alias("a"), F.col("uid_2").alias("b")).distinct()
     return near.unionByName(far).distinct()
 
 
@@ -344,7 +415,7 @@ def classes(docs: DataFrame, text: str = "text", order_by: str = "doc_id",
         F.explode("keys").alias("key"), "uid", (F.col("n") - SHINGLE_WORDS + 1).alias("size")
     )
     buckets, pairs = hub_pairs(members)
-    known = buckets.select("uid").distinct()
+    known = stored(buckets.select("uid").distinct(), "known")
     words = stored(rows.select("uid", "words").join(known, "uid"), "words")
     links = stored(verify(pairs, words), "links")
     more = left_pairs(buckets, components(links), words)
@@ -359,9 +430,12 @@ def classes(docs: DataFrame, text: str = "text", order_by: str = "doc_id",
         .join(degrees, "uid", "left")
         .withColumn("label", F.coalesce("label", "uid"))
     )
-    heads = labelled_texts.groupBy("label").agg(F.min("first").alias("head"))
-    named = labelled_texts.join(heads, "label").select(
-        "a", "b", "head", F.coalesce("links", F.lit(0)).cast("long").alias("links")
+    heads = stored(labelled_texts.groupBy("label").agg(F.min("first").alias("head")), "heads")
+    named = stored(
+        labelled_texts.join(heads, "label").select(
+            "a", "b", "head", F.coalesce("links", F.lit(0)).cast("long").alias("links")
+        ),
+        "named",
     )
     return rows.select("row", "a", "b", "uid").join(named, ["a", "b"]).select(
         "row", F.col("head.by").alias("class_id"), "links", (F.col("uid") == F.col("head.at")).alias("first"),
