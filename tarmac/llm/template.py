@@ -274,13 +274,17 @@ def contents(found: DataFrame) -> DataFrame:
                 groups: dict[str, list[str]] = {}
                 for t in sorted(tokens, key=lambda t: t["path"]):
                     groups.setdefault(t["vector"], []).append(t["path"])
-                # A class is valid if its tokens nest in the template built so far.
+                # A class is valid if its tokens nest in the template; one class may hold the parents of
+                # another and children of its elements, so the pass is repeated until nothing is added.
                 order = sorted(groups.values(), key=lambda g: (min(p.count("/") for p in g), g[0]))
                 template: set[str] = {""}
-                for group in order:
-                    for path in group:
-                        if path.rpartition("/")[0] in template:
-                            template.add(path)
+                size = 0
+                while len(template) > size:
+                    size = len(template)
+                    for group in order:
+                        for path in group:
+                            if path.rpartition("/")[0] in template:
+                                template.add(path)
                 own = [(t["path"], float(t["chars"])) for t in tokens if t["path"] in template]
                 rows.append((host, content_of(own), [g for g in order if g[0] in template]))
             yield pd.DataFrame(rows, columns=["host", "roots", "classes"])

@@ -262,6 +262,13 @@ def test_classes_nest_by_vector(spark):
     assert found["h"].roots == ["/html/body/article"]
 
 
+def test_template_of_repeated_wrappers(spark):
+    page = "<html><body><div><p>Menu {n}</div><div><article><h1>Title {n}</h1><p>Text {n}</article></div><div><p>Other {n}</div></body></html>"
+    pages = spark.createDataFrame([(n, f"http://h.org/{n}", page.format(n=n)) for n in range(9)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in template.extract(pages).select("row.page_id", "text").collect()}
+    assert got == {n: f"Title {n}\n\nText {n}" for n in range(9)}
+
+
 # The pipeline
 
 
