@@ -1,11 +1,17 @@
 """Main text of pages by deducing the templates of their hosts.
 
-A page's tags, each with the path of the elements around it, are its tokens. Tokens that occur
-equally often on every page of a host share their occurrence vector and form an equivalence class.
-Classes of the tokens that most of the host's pages have are valid; nested by their paths, they are
-the host's template, and the text between template tags sits in slots. A slot is part of the main
-text if it lies in the template's content element and in none that its tag or attributes name a
-menu, header, footer, sidebar, notice, advert, form or comment.
+A page's tags and words, each with the path of the elements around it, are its tokens. Tokens that
+occur equally often on every page of a host share their occurrence vector and form an equivalence
+class. Classes of the tokens that most of the host's pages have are valid; nested by their paths,
+they are the host's template, and the text between template tokens sits in slots. A slot is part of
+the main text if it lies in the template's content element and in none that its tag or attributes
+name a menu, header, footer, sidebar, notice, advert, form or comment.
+
+Words are template if their class holds a template tag, and in runs if their class holds LEAST_WORDS
+words. Names break ties: in an element that is named as content (article, main, class words) only
+runs of LEAST_WORDS template words go, elsewhere single ones too. Wholly constant blocks that follow
+each other are one run. A page keeps its text if all of it would go, or more than half of what is in
+elements named as content: then it is a copy of other pages and not their template.
 
 Occurrence vectors are never gathered: a token's vector is known by the sum of a hash of (page,
 count) over its pages, with the number of pages and occurrences, so a host with a third of all
@@ -17,8 +23,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -31,10 +39,16 @@ from tarmac.session import stored
 
 #: Hosts with fewer pages use the template of all pages.
 LEAST_PAGES = 8
+#: Template words in a row that are template even in an element named as content; words that make
+#: a class without a tag.
+LEAST_WORDS = 3
 #: A token belongs to a template if this part of the pages has it.
 LEAST_SHARE = 0.5
 #: Elements nested deeper than this count as nested this deep.
 MOST_DEPTH = 64
+#: Bits that mark word tokens which may be on enough pages, and words counted at once to find them.
+MARK_BITS = 1 << 25
+MARK_WORDS = 500_000
 #: Templates of up to this many bytes go to every executor.
 BROADCAST_BYTES = 16 << 20
 ALL_HOSTS = ""
@@ -148,6 +162,36 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
         yield "break", path
 
 
+def blocks(events: Iterator[tuple[str, str]]) -> Iterator[tuple[str, list[str]]]:
+    """(path, words) of the blocks of text of a page in order."""
+    parts, path = [], ""
+    for kind, value in [*events, ("break", "")]:
+        if kind == "text":
+            parts.append(value)
+            continue
+        if kind == "void":
+            if value == "hr":
+                kind, value = "break", path
+            else:
+                continue
+        if parts:
+            words = entities.unescape("".join(parts)).split()
+            if words:
+                yield path, words
+            parts = []
+        if kind == "break":
+            path = value
+
+
+def _number(text: str) -> int:
+    """A hash that fits a long."""
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
+def _word_token(path: str, word: str) -> int:
+    return _number(f"{path} {word}")
+
+
 def _elements(path: str) -> list[tuple[str, str]]:
     """(tag, words of the attributes) of the elements on a path."""
     out = []
@@ -169,6 +213,12 @@ def _is_content(name: tuple[str, str]) -> bool:
     return name[0] in CONTENT or bool(CONTENT_WORDS.search(name[1]))
 
 
+def _is_named(root: str) -> bool:
+    """Whether a content element was found by its name."""
+    last = _elements(root)[-1:]
+    return bool(last) and last[0][0] not in ("html", "body") and _is_content(last[0])
+
+
 def content_of(tokens: list[tuple[str, float]]) -> list[str]:
     """The content elements of a template: paths whose texts are the main text.
 
@@ -195,45 +245,131 @@ def content_of(tokens: list[tuple[str, float]]) -> list[str]:
     return [best]
 
 
+def _mark(host: int, token: int) -> int:
+    """The bit of a host's word token."""
+    return (host + token) % MARK_BITS
+
+
+def marks(pages: DataFrame) -> np.ndarray:
+    """Bits of the word tokens that LEAST_SHARE of their host's pages may have.
+
+    A token on that share of all pages of a host is on that share of them in one of any groups of
+    pages at least, so none is missed. Others are let through by chance or from groups with few
+    pages of a host; the counts over all pages decide about them.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: Counter = Counter()
+        held: dict[str, dict[str, Counter]] = {}
+
+        def flush() -> pa.RecordBatch:
+            bits = np.zeros(MARK_BITS >> 6, np.uint64)
+            for host, own in held.items():
+                number, least = _number(host), sizes[host] * LEAST_SHARE
+                for path, counts in own.items():
+                    for word, n in counts.items():
+                        if n >= least:
+                            bit = _mark(number, _word_token(path, word))
+                            bits[bit >> 6] |= np.uint64(1 << (bit & 63))
+            sizes.clear(), held.clear()
+            at = np.flatnonzero(bits)
+            return pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], names=["at", "bits"])
+
+        words = 0
+        for batch in batches:
+            for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sizes[host] += 1
+                if host == ALL_HOSTS:
+                    continue
+                own: dict[str, set[str]] = {}
+                for path, found in blocks(walk(page.as_py() or "")):
+                    own.setdefault(path, set()).update(found)
+                to = held.setdefault(host, {})
+                for path, found in own.items():
+                    counts = to.setdefault(path, Counter())
+                    words -= len(counts)
+                    counts.update(found)
+                    words += len(counts)
+                if words > MARK_WORDS:
+                    yield flush()
+                    words = 0
+        yield flush()
+
+    found = pages.select("host", "html").mapInArrow(find, "at long, bits long")
+    out = np.zeros(MARK_BITS >> 6, np.uint64)
+    for at, bits in found.groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas().itertuples(index=False):
+        out[at] = np.int64(bits).view(np.uint64)
+    return out
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, path, vector, pages, count, chars): a row for each token of a host, and of all hosts.
+    """A row for each token of a host that may be on enough pages, and for each tag of all hosts.
 
-    `pages` has host, key (a number of the row) and html. Sums are taken in the tasks first.
+    `pages` has host, key (a number of the row) and html. Tags have their path, words a null path, a
+    hash `token` of path and word, and the hash `near` of the path. Sums are taken in the tasks first.
     """
 
+    marked = marks(pages).tobytes()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            held: dict[tuple[str, str], list[int]] = {}
+            held: dict[tuple[str, str, str | None], list[int]] = {}
+            seen: dict[tuple[str, str], dict[str, bool]] = {}
+            numbers = {host: _number(host) for host in set(hosts)}
             for host, key, page in zip(hosts, keys, batch.column(2)):
-                own: dict[str, list[int]] = {}
-                path = ""
-                for kind, value in walk(page.as_py() or ""):
+                tags: dict[str, list[int]] = {}
+                words: dict[str, Counter] = {}
+                events = list(walk(page.as_py() or ""))
+                for kind, value in events:
                     if kind == "tag":
-                        own.setdefault(value, [0, 0])[0] += 1
-                        path = value
-                    elif kind == "break":
-                        path = value
-                    elif kind == "text" and path in own:
-                        own[path][1] += len(value)
-                for path, (n, chars) in own.items():
-                    vector = xxhash.xxh64_intdigest(f"{key} {n}") >> 24
-                    for to in (host, ALL_HOSTS) if host != ALL_HOSTS else (host,):
-                        sums = held.setdefault((to, path), [0, 0, 0, 0])
+                        tags.setdefault(value, [0, 0])[0] += 1
+                for path, found in blocks(events):
+                    if path in tags:
+                        tags[path][1] += sum(map(len, found)) + len(found)
+                    if host != ALL_HOSTS:
+                        words.setdefault(path, Counter()).update(found)
+                vectors: dict[int, int] = {}
+
+                def add(to, path, word, n, chars):
+                    vector = vectors.get(n)
+                    if vector is None:
+                        vector = vectors[n] = xxhash.xxh64_intdigest(f"{key} {n}") >> 24
+                    sums = held.get((to, path, word))
+                    if sums is None:
+                        held[to, path, word] = [vector, 1, n, chars]
+                    else:
                         sums[0] += vector
                         sums[1] += 1
                         sums[2] += n
                         sums[3] += chars
+
+                for path, (n, chars) in tags.items():
+                    for to in {host, ALL_HOSTS}:
+                        add(to, path, None, n, chars)
+                for path, counts in words.items():
+                    own = seen.setdefault((host, path), {})
+                    for word, n in counts.items():
+                        wanted = own.get(word)
+                        if wanted is None:
+                            bit = _mark(numbers[host], _word_token(path, word))
+                            wanted = own[word] = bool(marked[bit >> 3] >> (bit & 7) & 1)
+                        if wanted:
+                            add(host, path, word, n, n * (len(word) + 1))
+            near = {path: _number(path) for _, path, _ in held}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.string()),
+                [pa.array([to for to, _, _ in held], pa.string()),
+                 pa.array([path if word is None else None for _, path, word in held], pa.string()),
+                 pa.array([near[path] for _, path, _ in held], pa.int64()),
+                 pa.array([0 if word is None else _word_token(path, word) for _, path, word in held], pa.int64()),
                  *(pa.array([v[j] for v in held.values()], pa.int64()) for j in range(4))],
-                names=["host", "path", "vector", "pages", "count", "chars"],
+                names=["host", "path", "near", "token", "vector", "pages", "count", "chars"],
             )
 
     parts = pages.select("host", "key", "html").mapInArrow(
-        count, "host string, path string, vector long, pages long, count long, chars long"
+        count, "host string, path string, near long, token long, vector long, pages long, count long, chars long"
     )
-    return parts.groupBy("host", "path").agg(
+    return parts.groupBy("host", "path", "near", "token").agg(
         # Sums of 40-bit numbers; they wrap at the size of a long without harm to equality.
         F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"),
         *[F.sum(c).alias(c) for c in ("pages", "count", "chars")],
@@ -243,7 +379,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tokens): the template of each host with enough pages, and of all hosts (host '').
 
-    A token is (path, class); the class is numbered by vector within the host, the class of the
+    A token is (path, near, token, class); the class is numbered by vector within the host, the class of the
     tokens that every page has once being the root. Tokens on fewer than LEAST_SHARE of the
     host's pages are data, not template.
     """
@@ -256,15 +392,16 @@ def templates(pages: DataFrame) -> DataFrame:
     vector = F.concat_ws(":", F.col("vector").cast("string"), "pages", "count")
     return kept.groupBy("host").agg(
         F.collect_list(
-            F.struct("path", vector.alias("vector"), (F.col("chars") / F.col("size")).alias("chars"))
+            F.struct("path", "near", "token", vector.alias("vector"), (F.col("chars") / F.col("size")).alias("chars"))
         ).alias("tokens")
     )
 
 
 def contents(found: DataFrame) -> DataFrame:
-    """(host, roots, classes): the content elements of each template, and its classes nested.
+    """(host, roots, classes, words, runs): the content elements of each template, and its classes.
 
-    `classes` lists the template's classes as path lists, each class after the class it nests in.
+    `classes` lists the template's classes as path lists. `words` are the template words whose class
+    holds a tag of the template, `runs` those that are template in runs only.
     """
 
     def nest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -272,8 +409,12 @@ def contents(found: DataFrame) -> DataFrame:
             rows = []
             for host, tokens in zip(frame["host"], frame["tokens"]):
                 groups: dict[str, list[str]] = {}
-                for t in sorted(tokens, key=lambda t: t["path"]):
-                    groups.setdefault(t["vector"], []).append(t["path"])
+                texts: dict[str, list] = {}
+                for t in sorted(tokens, key=lambda t: t["path"] or ""):
+                    if t["path"] is None:
+                        texts.setdefault(t["vector"], []).append(t)
+                    else:
+                        groups.setdefault(t["vector"], []).append(t["path"])
                 # A class is valid if its tokens nest in the template; one class may hold the parents of
                 # another and children of its elements, so the pass is repeated until nothing is added.
                 order = sorted(groups.values(), key=lambda g: (min(p.count("/") for p in g), g[0]))
@@ -285,18 +426,73 @@ def contents(found: DataFrame) -> DataFrame:
                         for path in group:
                             if path.rpartition("/")[0] in template:
                                 template.add(path)
-                own = [(t["path"], float(t["chars"])) for t in tokens if t["path"] in template]
-                rows.append((host, content_of(own), [g for g in order if g[0] in template]))
-            yield pd.DataFrame(rows, columns=["host", "roots", "classes"])
-
-    return found.mapInPandas(nest, "host string, roots array<string>, classes array<array<string>>")
+                tags = {v for v, group in groups.items() if not template.isdisjoint(group)}
+                words = [t for v, group in texts.items() if v in tags for t in group]
+                runs = [t for v, group in texts.items() if v not in tags and len(group) >= LEAST_WORDS for t in group]
+                fixed: dict[int, float] = {}
+                for t in words:
+                    fixed[t["near"]] = fixed.get(t["near"], 0.0) + float(t["chars"])
+                own = [
+                    (t["path"], max(float(t["chars"]) - fixed.get(t["near"], 0.0), 0.0))
+                    for t in tokens if t["path"] is not None and t["path"] in template
+                ]
+                rows.append((host, content_of(own), [g for g in order if g[0] in template],
+                             sorted(t["token"] for t in words), sorted(t["token"] for t in runs)))
+            yield pd.DataFrame(rows, columns=["host", "roots", "classes", "words", "runs"])
+
+    return found.mapInPandas(
+        nest, "host string, roots array<string>, classes array<array<string>>, words array<long>, runs array<long>"
+    )
 
 
-def main_text(page: str | None, roots: list[str]) -> str:
+def _cut(held: list[tuple[str, list[str]]], roots: list[str], words: frozenset[int], runs: frozenset[int],
+         known: dict[str, dict[str, int]]) -> list[list[str]]:
+    """What is left of blocks of main text without the words of the template."""
+    marks = []
+    for path, block in held:
+        tokens = known.setdefault(path, {})
+        for word in block:
+            if word not in tokens:
+                tokens[word] = _word_token(path, word)
+        marks.append([2 if tokens[w] in words else int(tokens[w] in runs) for w in block])
+    # Runs of template words: within a block, or over blocks that hold nothing else.
+    lengths, whole = [], 0
+    for own in marks:
+        whole = whole + len(own) if all(own) else 0
+        lengths.append(whole)
+    for i in range(len(lengths) - 2, -1, -1):
+        if lengths[i] and lengths[i + 1]:
+            lengths[i] = lengths[i + 1]
+    left, named, named_left = [], 0, 0
+    roots = [r for r in roots if _is_named(r)]
+    for (path, block), own, length in zip(held, marks, lengths):
+        is_named = any(path == r or path.startswith(f"{r}/") for r in roots)
+        out, at = [], 0
+        while at < len(own):
+            to = at
+            while to < len(own) and bool(own[to]) == bool(own[at]):
+                to += 1
+            if not own[at]:
+                out += block[at:to]
+            elif max(to - at, length) < LEAST_WORDS:
+                out += [w for w, m in zip(block[at:to], own[at:to]) if is_named or m < 2]
+            at = to
+        left.append(out)
+        if is_named:
+            named += len(block)
+            named_left += len(out)
+    if not any(left) or named_left * 2 < named:
+        return [block for _, block in held]
+    return left
+
+
+def main_text(page: str | None, roots: list[str], words: frozenset[int] = frozenset(),
+              runs: frozenset[int] = frozenset(), known: dict[str, dict[str, int]] | None = None) -> str:
     """The blocks of a page that lie in one of the content elements, without boilerplate.
 
     A page without any of the template's content elements falls back on its own: its article or
-    main element, or what is outside of boilerplate.
+    main element, or what is outside of boilerplate. `words` and `runs` are the template's; `known`
+    holds tokens of words by path from page to page.
     """
     if not page:
         return ""
@@ -314,25 +510,11 @@ def main_text(page: str | None, roots: list[str]) -> str:
             ) and not is_boilerplate(path)
         return verdicts[path]
 
-    blocks, parts, path = [], [], ""
-    for kind, value in [*events, ("break", "")]:
-        if kind == "text":
-            if counts(path):
-                parts.append(value)
-            continue
-        if kind == "void":
-            if value == "hr":
-                kind, value = "break", path
-            else:
-                continue
-        if parts:
-            block = " ".join(entities.unescape("".join(parts)).split())
-            if block:
-                blocks.append(block)
-            parts = []
-        if kind == "break":
-            path = value
-    return "\n\n".join(blocks)
+    held = [(path, block) for path, block in blocks(events) if counts(path)]
+    left = [block for _, block in held]
+    if words or runs:
+        left = _cut(held, inside, words, runs, {} if known is None else known)
+    return "\n\n".join(" ".join(block) for block in left if block)
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url",
@@ -347,25 +529,31 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url",
     host, _ = host_and_path(F.col(url))
     rows = pages.select(F.struct(*(keep or ["*"])).alias("row"), host.alias("host"), F.col(html).alias("html"))
     keyed = rows.select("host", F.xxhash64("html", "host").alias("key"), "html")
-    found = stored(contents(templates(keyed)).select("host", "roots"), "templates")
+    found = stored(contents(templates(keyed)).select("host", "roots", "words", "runs"), "templates")
     common = found.where(F.col("host") == ALL_HOSTS).select("roots").first()
     fallback = list(common["roots"]) if common else []
-    size = found.agg(F.sum(F.length("host") + F.aggregate("roots", F.lit(0), lambda n, r: n + F.length(r)))).first()[0]
+    size = found.agg(F.sum(
+        F.length("host") + F.aggregate("roots", F.lit(0), lambda n, r: n + F.length(r)) + 8 * (F.size("words") + F.size("runs"))
+    )).first()[0]
     side = F.broadcast(found) if (size or 0) <= BROADCAST_BYTES else found
     kind = f"row {rows.schema['row'].dataType.simpleString()}, host string, text string"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                main_text(page.as_py(), roots if roots is not None else fallback)
-                for page, roots in zip(batch.column("html"), batch.column("roots").to_pylist())
-            ]
+            known: dict[str, dict[str, int]] = {}
+            of: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
+            texts = []
+            for i, (host, roots) in enumerate(zip(batch.column("host").to_pylist(), batch.column("roots").to_pylist())):
+                if host not in of:
+                    of[host] = tuple(frozenset(batch.column(c)[i].as_py() or ()) for c in ("words", "runs"))
+                page = batch.column("html")[i].as_py()
+                texts.append(main_text(page, roots if roots is not None else fallback, *of[host], known))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("host"), pa.array(texts, pa.string())],
                 names=["row", "host", "text"],
             )
 
-    return rows.join(side, "host", "left").select("row", "host", "html", "roots").mapInArrow(read, kind)
+    return rows.join(side, "host", "left").select("row", "host", "html", "roots", "words", "runs").mapInArrow(read, kind)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

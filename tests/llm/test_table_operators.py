@@ -269,6 +269,31 @@ def test_template_of_repeated_wrappers(spark):
     assert got == {n: f"Title {n}\n\nText {n}" for n in range(9)}
 
 
+def slots(seed):
+    return " ".join(f"w{seed}x{k}" for k in range(20 + seed))
+
+
+def test_constant_text_of_a_host_is_template(spark):
+    forms = [
+        ("<div class='c7'>Inicio Noticias Contacto</div><div class='publicidad'><p>Compre ya<p>hoy</div>"
+         "<div class='c9'>{t}</div><div class='c8'>Aviso</div>", "{t}"),
+        ("<article><p>{t}</p><p>All rights on this page are held by us and by you</p><div class='c7'><li>Home<li>News<li>Sport</div></article>", "{t}"),
+        ("<div class='c9'><p>Posted by {a} on {b}<p>{t}</div>", "{a} {b}\n\n{t}"),
+    ]
+    rows, want = [], {}
+    for k, (form, text) in enumerate(forms):
+        for n in range(9):
+            own = {"t": slots(n), "a": f"a{n}", "b": f"b{n}"}
+            rows.append((10 * k + n, f"http://h{k}.org/{n}", f"<html><body>{form.format(**own)}</body></html>"))
+            want[10 * k + n] = text.format(**own)
+    # Pages that are copies of each other have no slots; their text is not their template.
+    rows += [(90 + n, f"http://copy.org/{n}", "<html><body><article><p>one and the same long text") for n in range(9)]
+    want |= {90 + n: "one and the same long text" for n in range(9)}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in template.extract(pages).select("row.page_id", "text").collect()}
+    assert got == want
+
+
 # The pipeline
 
 
