@@ -15,8 +15,8 @@ elements named as content: then it is a copy of other pages and not their templa
 
 Occurrence vectors are never gathered: a token's vector is known by the sum of a hash of (page,
 count) over its pages, with the number of pages and occurrences, so a host with a third of all
-pages costs a sum. Hosts with few pages have little evidence; their pages use the template of
-all hosts together.
+pages costs a sum. On hosts with few pages words share a vector by chance, so only whole blocks of
+template words go there. The only page of a host uses the template of all hosts together.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from tarmac.llm.common import small_batches, table
 from tarmac.llm.url_filter import host_and_path
 from tarmac.session import stored
 
-#: Hosts with fewer pages use the template of all pages.
+#: On hosts with fewer pages, words are template only in blocks that hold nothing else.
 LEAST_PAGES = 8
 #: Template words in a row that are template even in an element named as content; words that make
 #: a class without a tag.
@@ -377,7 +377,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, tokens): the template of each host with enough pages, and of all hosts (host '').
+    """(host, tokens, size): the template of each host of two pages or more, and of all hosts (host '').
 
     A token is (path, near, token, class); the class is numbered by vector within the host, the class of the
     tokens that every page has once being the root. Tokens on fewer than LEAST_SHARE of the
@@ -385,29 +385,34 @@ def templates(pages: DataFrame) -> DataFrame:
     """
     sums = occurrences(pages)
     sizes = pages.groupBy("host").agg(F.count("*").alias("size"))
-    sizes = sizes.where((F.col("size") >= LEAST_PAGES) & (F.col("host") != ALL_HOSTS)).unionByName(
+    sizes = sizes.where((F.col("size") > 1) & (F.col("host") != ALL_HOSTS)).unionByName(
         sizes.agg(F.lit(ALL_HOSTS).alias("host"), F.sum("size").alias("size")).where("size is not null")
     )
-    kept = sums.join(sizes, "host").where(F.col("pages") >= F.col("size") * LEAST_SHARE)
+    # A word on a single page is no template, though it may be half of a host's pages.
+    kept = sums.join(sizes, "host").where(
+        (F.col("pages") >= F.col("size") * LEAST_SHARE) & (F.col("path").isNotNull() | (F.col("pages") > 1))
+    )
     vector = F.concat_ws(":", F.col("vector").cast("string"), "pages", "count")
     return kept.groupBy("host").agg(
         F.collect_list(
             F.struct("path", "near", "token", vector.alias("vector"), (F.col("chars") / F.col("size")).alias("chars"))
-        ).alias("tokens")
+        ).alias("tokens"),
+        F.first("size").alias("size"),
     )
 
 
 def contents(found: DataFrame) -> DataFrame:
-    """(host, roots, classes, words, runs): the content elements of each template, and its classes.
+    """(host, roots, classes, words, runs, whole): the content elements of each template, and its classes.
 
     `classes` lists the template's classes as path lists. `words` are the template words whose class
-    holds a tag of the template, `runs` those that are template in runs only.
+    holds a tag of the template, `runs` those that are template in runs only; on hosts with few
+    pages all are in `runs` and `whole` says that their runs are of whole blocks.
     """
 
     def nest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for host, tokens in zip(frame["host"], frame["tokens"]):
+            for host, tokens, pages in zip(frame["host"], frame["tokens"], frame["size"]):
                 groups: dict[str, list[str]] = {}
                 texts: dict[str, list] = {}
                 for t in sorted(tokens, key=lambda t: t["path"] or ""):
@@ -429,6 +434,9 @@ def contents(found: DataFrame) -> DataFrame:
                 tags = {v for v, group in groups.items() if not template.isdisjoint(group)}
                 words = [t for v, group in texts.items() if v in tags for t in group]
                 runs = [t for v, group in texts.items() if v not in tags and len(group) >= LEAST_WORDS for t in group]
+                whole = bool(pages < LEAST_PAGES)
+                if whole:
+                    words, runs = [], words + runs
                 fixed: dict[int, float] = {}
                 for t in words:
                     fixed[t["near"]] = fixed.get(t["near"], 0.0) + float(t["chars"])
@@ -437,16 +445,16 @@ def contents(found: DataFrame) -> DataFrame:
                     for t in tokens if t["path"] is not None and t["path"] in template
                 ]
                 rows.append((host, content_of(own), [g for g in order if g[0] in template],
-                             sorted(t["token"] for t in words), sorted(t["token"] for t in runs)))
-            yield pd.DataFrame(rows, columns=["host", "roots", "classes", "words", "runs"])
+                             sorted(t["token"] for t in words), sorted(t["token"] for t in runs), whole))
+            yield pd.DataFrame(rows, columns=["host", "roots", "classes", "words", "runs", "whole"])
 
     return found.mapInPandas(
-        nest, "host string, roots array<string>, classes array<array<string>>, words array<long>, runs array<long>"
+        nest, "host string, roots array<string>, classes array<array<string>>, words array<long>, runs array<long>, whole boolean"
     )
 
 
 def _cut(held: list[tuple[str, list[str]]], roots: list[str], words: frozenset[int], runs: frozenset[int],
-         known: dict[str, dict[str, int]]) -> list[list[str]]:
+         whole_only: bool, known: dict[str, dict[str, int]]) -> list[list[str]]:
     """What is left of blocks of main text without the words of the template."""
     marks = []
     for path, block in held:
@@ -474,7 +482,7 @@ def _cut(held: list[tuple[str, list[str]]], roots: list[str], words: frozenset[i
                 to += 1
             if not own[at]:
                 out += block[at:to]
-            elif max(to - at, length) < LEAST_WORDS:
+            elif max(0 if whole_only else to - at, length) < LEAST_WORDS:
                 out += [w for w, m in zip(block[at:to], own[at:to]) if is_named or m < 2]
             at = to
         left.append(out)
@@ -487,11 +495,11 @@ def _cut(held: list[tuple[str, list[str]]], roots: list[str], words: frozenset[i
 
 
 def main_text(page: str | None, roots: list[str], words: frozenset[int] = frozenset(),
-              runs: frozenset[int] = frozenset(), known: dict[str, dict[str, int]] | None = None) -> str:
+              runs: frozenset[int] = frozenset(), whole: bool = False, known: dict[str, dict[str, int]] | None = None) -> str:
     """The blocks of a page that lie in one of the content elements, without boilerplate.
 
     A page without any of the template's content elements falls back on its own: its article or
-    main element, or what is outside of boilerplate. `words` and `runs` are the template's; `known`
+    main element, or what is outside of boilerplate. `words`, `runs` and `whole` are the template's; `known`
     holds tokens of words by path from page to page.
     """
     if not page:
@@ -513,7 +521,7 @@ def main_text(page: str | None, roots: list[str], words: frozenset[int] = frozen
     held = [(path, block) for path, block in blocks(events) if counts(path)]
     left = [block for _, block in held]
     if words or runs:
-        left = _cut(held, inside, words, runs, {} if known is None else known)
+        left = _cut(held, inside, words, runs, whole, {} if known is None else known)
     return "\n\n".join(" ".join(block) for block in left if block)
 
 
@@ -529,7 +537,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url",
     host, _ = host_and_path(F.col(url))
     rows = pages.select(F.struct(*(keep or ["*"])).alias("row"), host.alias("host"), F.col(html).alias("html"))
     keyed = rows.select("host", F.xxhash64("html", "host").alias("key"), "html")
-    found = stored(contents(templates(keyed)).select("host", "roots", "words", "runs"), "templates")
+    found = stored(contents(templates(keyed)).select("host", "roots", "words", "runs", "whole"), "templates")
     common = found.where(F.col("host") == ALL_HOSTS).select("roots").first()
     fallback = list(common["roots"]) if common else []
     size = found.agg(F.sum(
@@ -541,11 +549,12 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url",
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: dict[str, dict[str, int]] = {}
-            of: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
+            of: dict[str, tuple[frozenset[int], frozenset[int], bool]] = {}
             texts = []
             for i, (host, roots) in enumerate(zip(batch.column("host").to_pylist(), batch.column("roots").to_pylist())):
                 if host not in of:
-                    of[host] = tuple(frozenset(batch.column(c)[i].as_py() or ()) for c in ("words", "runs"))
+                    words, runs = (frozenset(batch.column(c)[i].as_py() or ()) for c in ("words", "runs"))
+                    of[host] = words, runs, bool(batch.column("whole")[i].as_py())
                 page = batch.column("html")[i].as_py()
                 texts.append(main_text(page, roots if roots is not None else fallback, *of[host], known))
             yield pa.RecordBatch.from_arrays(
@@ -553,7 +562,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url",
                 names=["row", "host", "text"],
             )
 
-    return rows.join(side, "host", "left").select("row", "host", "html", "roots", "words", "runs").mapInArrow(read, kind)
+    return rows.join(side, "host", "left").select("row", "host", "html", "roots", "words", "runs", "whole").mapInArrow(read, kind)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -294,6 +294,19 @@ def test_constant_text_of_a_host_is_template(spark):
     assert got == want
 
 
+def test_hosts_with_few_pages_have_their_own_template(spark):
+    page = "<html><body><p>Read our terms of use<div class='x'><div class='post-content'><p>{t}</p><p>Text of page {n} and more</div></div></body></html>"
+    rows = [(n, f"http://few.org/{n}", page.format(n=n, t=slots(n))) for n in range(2)]
+    rows += [(10 + n, f"http://many.org/{n}", f"<html><body><div class='x'><p>{slots(n)}</div></body></html>") for n in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.host: r.roots for r in template.contents(template.templates(
+        pages.select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), F.col("page_id").alias("key"), "html")
+    )).collect()}
+    assert found["few.org"] == ["/html/body/div[class=x]/div[class=post-content]"]
+    got = {r.page_id: r.text for r in template.extract(pages).select("row.page_id", "text").collect()}
+    assert [got[n] for n in range(2)] == [f"{slots(n)}\n\nText of page {n} and more" for n in range(2)]
+
+
 # The pipeline
 
 
