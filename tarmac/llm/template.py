@@ -44,8 +44,11 @@ LEAST_PAGES = 8
 LEAST_WORDS = 3
 #: A token belongs to a template if this part of the pages has it.
 LEAST_SHARE = 0.5
-#: Elements nested deeper than this count as nested this deep.
+#: Paths hold elements nested deeper than this by a hash, but for the first of each kind that is
+#: named as content or as other than main text.
 MOST_DEPTH = 64
+#: Longer values of class, id and role are held by a hash and the words that name what they are.
+MOST_VALUE = 200
 #: Bits that mark word tokens which may be on enough pages, and words counted at once to find them.
 MARK_BITS = 1 << 25
 MARK_WORDS = 500_000
@@ -101,7 +104,23 @@ def _name(tag: str, attributes: str) -> str:
         (k.lower(), re.sub(r"\d+", "0", entities.unescape(value.strip("\"'"))).strip())
         for k, value in _ATTRIBUTE.findall(attributes)
     })
-    return tag + "".join(f"[{k}={v.replace('/', ' ')[:200]}]" for k, v in found)
+    return tag + "".join(f"[{k}={_short(v.replace('/', ' '))}]" for k, v in found)
+
+
+def _short(value: str) -> str:
+    """An attribute's value, a long one by the words that name its kind and a hash."""
+    if len(value) <= MOST_VALUE:
+        return value
+    found = [m[0].strip().strip("_-") for m in (BOILERPLATE_WORDS.search(value), CONTENT_WORDS.search(value)) if m]
+    return " ".join([*found, xxhash.xxh64_hexdigest(value)])
+
+
+def _kind(name: str) -> str:
+    """What an element is named as: other than main text, article, main, content, or nothing."""
+    element = _elements(f"/{name}")[0]
+    if is_boilerplate(f"/{name}"):
+        return "boilerplate"
+    return element[0] if element[0] in CONTENT else "content" if _is_content(element) else ""
 
 
 def walk(page: str) -> Iterator[tuple[str, str]]:
@@ -114,10 +133,12 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
     names: list[str] = []
     tags: list[str] = []
     paths = [""]
+    # The path that an element's children extend, and the kinds of the deep elements on it.
+    bases: list[tuple[str, frozenset[str]]] = [("", frozenset())]
     at = 0
 
     def pop(to: int) -> None:
-        del names[to:], tags[to:], paths[to + 1 :]
+        del names[to:], tags[to:], paths[to + 1 :], bases[to + 1 :]
 
     while True:
         found = _TAG.search(page, at)
@@ -152,13 +173,21 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
             elif tags[depth] in SCOPES:
                 break
         name = _name(tag, found[3])
-        path = f"{paths[-1]}/{name}" if len(tags) < MOST_DEPTH else paths[-1]
+        base, kinds = bases[-1]
+        path = f"{base}/{name}"
+        if len(tags) < MOST_DEPTH:
+            base = path
+        else:
+            path += f"[deep={xxhash.xxh64_hexdigest(paths[-1])}]"
+            kind = _kind(name)
+            if kind and kind not in kinds:
+                base, kinds = path, kinds | {kind}
         yield "tag", path
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
             continue
-        names.append(name), tags.append(tag), paths.append(path)
+        names.append(name), tags.append(tag), paths.append(path), bases.append((base, kinds))
         yield "break", path
 
 

@@ -307,6 +307,17 @@ def test_hosts_with_few_pages_have_their_own_template(spark):
     assert [got[n] for n in range(2)] == [f"{slots(n)}\n\nText of page {n} and more" for n in range(2)]
 
 
+def test_names_of_deep_and_long_elements():
+    deep = "<div>" * 100
+    page = f"<html><body>{deep}<nav><div><p>menu</div></nav><article><div><p>text</p><div class='ad'>buy</div></div></article><p>other"
+    assert template.main_text(page, []) == "text"
+    classes = " ".join(f"x{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
+    assert template.main_text(f"<article><p>text<div class='{classes} sidebar'>side</div></article>", []) == "text"
+    assert template.main_text(f"<p>a<div class='{classes} post-content'><p>text</div>", []) == "text"
+    paths = [value for kind, value in template.walk("<div>" * 3000) if kind == "tag"]
+    assert max(map(len, paths)) < 400
+
+
 # The pipeline
 
 
