@@ -16,7 +16,7 @@ elements named as content: then it is a copy of other pages and not their templa
 Occurrence vectors are never gathered: a token's vector is known by the sum of a hash of (page,
 count) over its pages, with the number of pages and occurrences, so a host with a third of all
 pages costs a sum. On hosts with few pages words share a vector by chance, so only whole blocks of
-template words go there. The only page of a host uses the template of all hosts together.
+template words go there, and none in elements named as content. The only page of a host uses the template of all hosts together.
 """
 
 from __future__ import annotations
@@ -511,7 +511,7 @@ def _cut(held: list[tuple[str, list[str]]], roots: list[str], words: frozenset[i
                 to += 1
             if not own[at]:
                 out += block[at:to]
-            elif max(0 if whole_only else to - at, length) < LEAST_WORDS:
+            elif whole_only and is_named or max(0 if whole_only else to - at, length) < LEAST_WORDS:
                 out += [w for w, m in zip(block[at:to], own[at:to]) if is_named or m < 2]
             at = to
         left.append(out)
