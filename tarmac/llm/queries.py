@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tarmac.llm import decontaminate, language_id, nn_descent, order_minhash, secrets, sentencepiece_codec, template, toxicity, url_filter, warc
+from tarmac.llm import (
+    decontaminate, exact_dedup, language_id, nn_descent, order_minhash, secrets, sentencepiece_codec, template, toxicity,
+    url_filter, warc,
+)
 
 QUERIES = {
     "op1_html_template": template.query,
@@ -15,10 +18,12 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_near_duplicates": order_minhash.query,
     "op10_warc": warc.query,
+    "op13_exact_dedup": exact_dedup.query,
 }
 
 ORACLES = {
     "op2_url_filter": url_filter.SQL,
     "op3_secrets": secrets.SQL,
     "op10_warc": warc.SQL,
+    "op13_exact_dedup": exact_dedup.SQL,
 }
