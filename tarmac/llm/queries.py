@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tarmac.llm import (
-    decontaminate, exact_dedup, language_id, nn_descent, order_minhash, secrets, sentencepiece_codec, template, toxicity,
+    decontaminate, exact_dedup, language_id, lexical_search, nn_descent, order_minhash, secrets, sentencepiece_codec, template, toxicity,
     url_filter, warc,
 )
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_near_duplicates": order_minhash.query,
     "op10_warc": warc.query,
+    "op12_lexical_search": lexical_search.query,
     "op13_exact_dedup": exact_dedup.query,
 }
 
@@ -25,5 +26,6 @@ ORACLES = {
     "op2_url_filter": url_filter.SQL,
     "op3_secrets": secrets.SQL,
     "op10_warc": warc.SQL,
+    "op12_lexical_search": lexical_search.SQL,
     "op13_exact_dedup": exact_dedup.SQL,
 }

@@ -19,7 +19,7 @@ from tarmac.session import scratch
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, tables, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tables}/{t}.parquet'")
     frame = QUERIES[name](spark, tables)
     result = db.execute(ORACLES[name])
