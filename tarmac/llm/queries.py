@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tarmac.llm import (
-    decontaminate, exact_dedup, language_id, lexical_search, nn_descent, order_minhash, secrets, sentencepiece_codec, template, toxicity,
-    url_filter, warc,
+    conversation_repair, decontaminate, exact_dedup, language_id, lexical_search, nn_descent, order_minhash, secrets,
+    sentencepiece_codec, template, toxicity, url_filter, warc,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_toxicity": toxicity.query,
     "op9_near_duplicates": order_minhash.query,
     "op10_warc": warc.query,
+    "op11_conversation_repair": conversation_repair.query,
     "op12_lexical_search": lexical_search.query,
     "op13_exact_dedup": exact_dedup.query,
 }
@@ -26,6 +27,7 @@ ORACLES = {
     "op2_url_filter": url_filter.SQL,
     "op3_secrets": secrets.SQL,
     "op10_warc": warc.SQL,
+    "op11_conversation_repair": conversation_repair.SQL,
     "op12_lexical_search": lexical_search.SQL,
     "op13_exact_dedup": exact_dedup.SQL,
 }
