@@ -30,9 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import small_batches, table
+from tarmac.session import stored
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 1 << 16
+#: Chunks whose matrices are combined before the scan of a text.
+GROUP = 256
 #: Words whose pieces a worker remembers.
 KNOWN_WORDS = 400_000
 _KNOWN_PAIRS = 200_000
@@ -49,6 +52,8 @@ class Vocabulary:
     byte_ids: list[int]
     spelled: list[bytes]
     longest: int = 1
+    #: For each id, whether it begins a piece or character: bytes inside of a character do not.
+    begins: np.ndarray = field(default_factory=lambda: np.empty(0, bool))
     words: dict[str, bytes] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
 
@@ -141,7 +146,9 @@ def load(path: str = VOCABULARY) -> Vocabulary:
             spelled.append(text.encode())
     if any("\n" in p or re.search(r"[^ ] ", p) for p in ranks):
         raise ValueError("a piece spans the start of a word or a line break")
-    return Vocabulary(ranks, ids, byte_ids, spelled, max(map(len, ranks)))
+    begins = np.ones(n, bool)
+    begins[byte_ids[0x80:0xC0]] = False
+    return Vocabulary(ranks, ids, byte_ids, spelled, max(map(len, ranks)), begins)
 
 
 def _marked(text: str) -> str:
@@ -255,7 +262,8 @@ def transfer(v: Vocabulary, c: _Chunk) -> list[tuple[int, int, int]]:
     for left, piece, at in _lefts(v, c):
         if at <= first and first in (ends := _follow(v, c.text, at, piece, first)):
             heads.append((left, len(_path(ends, at, first, c.text))))
-    middle = len(v.text(c.text[first:last])) // 4
+    # Pieces, as in heads and tails: an unknown character is one, though it has several ids.
+    middle = int(v.begins[np.frombuffer(v.text(c.text[first:last]), "<i4")].sum())
     if last == c.end:
         tails = [(SYNC, 0)]
     else:
@@ -279,12 +287,22 @@ def combine(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]]) -> lis
     return [(left, right, weight) for (left, right), weight in best.items()]
 
 
-def scan(matrices: list[list[tuple[int, int, int]]]) -> list[tuple[int, int]]:
-    """The (left, right) states of each chunk on the best path from end to end."""
-    reached = [[(SYNC, SYNC, 0)]]
+def product(matrices: list[list[tuple[int, int, int]]]) -> list[tuple[int, int, int]]:
+    """The matrix of neighbouring chunks as one, combined in a balanced tree."""
+    while len(matrices) > 1:
+        matrices = [
+            combine(*matrices[i : i + 2]) if i + 1 < len(matrices) else matrices[i]
+            for i in range(0, len(matrices), 2)
+        ]
+    return matrices[0]
+
+
+def scan(matrices: list[list[tuple[int, int, int]]], start: int = SYNC, end: int = SYNC) -> list[tuple[int, int]]:
+    """The (left, right) states of each chunk on the best path from `start` to `end`."""
+    reached = [[(start, start, 0)]]
     for matrix in matrices:
         reached.append(combine(reached[-1], matrix))
-    out, right = [], SYNC
+    out, right = [], end
     for matrix, before in zip(matrices[::-1], reached[-2::-1]):
         weights = {state: weight for _, state, weight in before}
         left = max(
@@ -371,14 +389,25 @@ def encode_giants(texts: DataFrame, v: Vocabulary, chunk_chars: int = CHUNK_CHAR
                 names=["key", "chunk", "left", "right", "weight"],
             )
 
+    def by_chunk(frame: pd.DataFrame) -> tuple[list[int], list[list[tuple[int, int, int]]]]:
+        """The chunks (or groups of them) in order, and their matrices."""
+        parts = list(frame.sort_values("chunk", kind="stable").groupby("chunk"))
+        return [k for k, _ in parts], [list(zip(own["left"], own["right"], own["weight"])) for _, own in parts]
+
+    def join_up(frame: pd.DataFrame) -> pd.DataFrame:
+        whole = np.array(product(by_chunk(frame)[1]), np.int64).reshape(-1, 3)
+        return pd.DataFrame({
+            "a": frame["a"].iat[0], "b": frame["b"].iat[0], "chunk": frame["group"].iat[0],
+            "left": whole[:, 0], "right": whole[:, 1], "weight": whole[:, 2],
+        })
+
     def follow(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("chunk")
-        matrices = [
-            list(zip(own["left"], own["right"], own["weight"])) for _, own in frame.groupby("chunk")
-        ]
-        states = scan(matrices)
+        """The states of a group's chunks between those at its ends; of all groups, from end to end."""
+        first = frame.iloc[0]
+        chunks, matrices = by_chunk(frame)
+        states = scan(matrices, first["from"], first["to"])
         return pd.DataFrame({
-            "a": frame["a"].iat[0], "b": frame["b"].iat[0], "chunk": range(len(states)),
+            "a": first["a"], "b": first["b"], "chunk": chunks,
             "left": [s[0] for s in states], "right": [s[1] for s in states],
         })
 
@@ -399,11 +428,20 @@ def encode_giants(texts: DataFrame, v: Vocabulary, chunk_chars: int = CHUNK_CHAR
     chunks = texts.select("key", "text").mapInArrow(cut, kind + "text string, begin int, end int")
     spread = chunks.repartition("key", "chunk")
     matrices = spread.mapInArrow(measure, kind + "left long, right long, weight long")
-    # A text is two gigabytes at most, so its matrices are some ten thousand small ones.
+    # The matrices of GROUP neighbouring chunks are combined, the products of a text scanned, and the
+    # states found at the ends of each group lead back through its chunks.
+    flat = stored(matrices.select(
+        "key.a", "key.b", F.floor(F.col("chunk") / GROUP).cast("int").alias("group"), "chunk", "left", "right", "weight"
+    ), "matrices")
+    path = "a long, b long, chunk int, left long, right long"
+    ends = F.lit(SYNC).cast("long")
+    groups = (
+        flat.groupBy("a", "b", "group").applyInPandas(join_up, path + ", weight long")
+        .select("*", ends.alias("from"), ends.alias("to")).groupBy("a", "b").applyInPandas(follow, path)
+    )
+    between = groups.select("a", "b", F.col("chunk").alias("group"), F.col("left").alias("from"), F.col("right").alias("to"))
     states = (
-        matrices.select("key.a", "key.b", "chunk", "left", "right", "weight")
-        .groupBy("a", "b")
-        .applyInPandas(follow, "a long, b long, chunk int, left long, right long")
+        flat.join(between, ["a", "b", "group"]).groupBy("a", "b", "group").applyInPandas(follow, path)
         .select(F.struct("a", "b").alias("key"), "chunk", "left", "right")
     )
     traced = chunks.join(states, ["key", "chunk"]).select(
@@ -444,8 +482,8 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text",
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """`encoded` (with `ids`) as a struct `row`, with `text`, what the ids spell.
 
-    Null ids and no ids spell an empty text. Bytes that are no UTF-8 become replacement marks,
-    ids outside the vocabulary raise.
+    A null list and no ids spell an empty text. Bytes that are no UTF-8 become replacement marks. An
+    id outside the vocabulary, below 0 or null, raises a ValueError that names it.
     """
     small_batches(encoded.sparkSession)
     spelled = load(path).spelled
@@ -455,7 +493,9 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
         for batch in batches:
             out = []
             for ids in batch.column("row").field("ids"):
-                ids = ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []
+                ids = ids.values.to_pylist() if ids.is_valid else []
+                if odd := [i for i in ids if i is None or not 0 <= i < len(spelled)]:
+                    raise ValueError(f"no piece has the id {odd[0]}")
                 whole = b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")
                 out.append(whole.removeprefix(" "))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])

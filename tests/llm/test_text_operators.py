@@ -1,5 +1,6 @@
 """Language ID, SentencePiece, decontamination, toxicity and near-duplicates."""
 
+import functools
 import itertools
 import random
 import re
@@ -134,6 +135,8 @@ def test_scanned_chunks_give_the_same_encoding(library, size):
         states = codec.scan(matrices)
         got = ids_of(b"".join(codec.trace(v, c, a, b) for c, (a, b) in zip(chunks, states)))
         assert got == library.encode(text), (size, text)
+        if matrices:
+            assert codec.product(matrices) == functools.reduce(codec.combine, matrices)
         if len(matrices) > 2:  # any bracketing has the same product
             a, b, c = matrices[:3]
             assert sorted(codec.combine(codec.combine(a, b), c)) == sorted(codec.combine(a, codec.combine(b, c)))
@@ -144,6 +147,20 @@ def test_scanned_chunks_give_the_same_encoding(library, size):
             assert total == [(codec.SYNC, codec.SYNC, -n_units)]
 
 
+@pytest.mark.parametrize("odd", [-1, None, 32_000_000])
+def test_odd_ids_raise(spark, odd):
+    rows = spark.createDataFrame([([5, odd],)], "ids array<int>")
+    with pytest.raises(Exception, match=f"no piece has the id {odd}"):
+        codec.decode(rows).collect()
+
+
+def test_groups_of_chunks_lead_to_the_same_path(spark, library, monkeypatch):
+    monkeypatch.setattr(codec, "GROUP", 3)
+    texts = [prose(4, 900), "giant" * 700, "é漢🎉 " * 500]
+    got = codec.encode(documents(spark, list(enumerate(texts))), chunk_chars=100).select("row.doc_id", "ids").collect()
+    assert {r.doc_id: r.ids for r in got} == {i: library.encode(t) for i, t in enumerate(texts)}
+
+
 def test_round_trip_on_spark(spark, library):
     texts = [None, "", "short text", prose(1, 400), prose(1, 400), "giant" * 200, prose(2, 300) + "\n", "  a  "]
     docs = documents(spark, list(enumerate(texts)))
@@ -332,6 +349,8 @@ def test_alignment_against_shared_shingles():
         want = len(s & t) / len(s | t)
         if min(len(a), len(b)) >= 5 and abs(want - 0.8) > 0.03:
             assert (order_minhash.similarity(x, y) >= 0.8) == (want >= 0.8)
+    swapped = np.arange(40_000, dtype=np.uint32)  # 20,000-word halves, in no time
+    assert order_minhash.similarity(swapped, np.roll(swapped, 20_000)) == 0
     moved = np.arange(100, dtype=np.uint32)  # order counts: halves swapped are no copy
     assert order_minhash.similarity(moved, np.roll(moved, 50)) == 0
 
