@@ -46,7 +46,12 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def two_decimals(name: str) -> Column:
-    """The named column as text with two decimals, rounded from its exact binary value.
+    """The named column as text with two decimals, see `two_decimals_sql`."""
+    return F.expr(two_decimals_sql(name)).alias(name)
+
+
+def two_decimals_sql(name: str) -> str:
+    """The SQL of a number (named, possibly inside of a struct) as text with two decimals, rounded from its exact binary value.
 
     Ties go to even, as printf does: 0.125 is 0.12 and 2.675 is 2.67, where Spark's own formatting
     rounds the shortest decimal half-up (0.13 and 2.68). size * 100 is kept as head + tail without
@@ -65,8 +70,8 @@ def two_decimals(name: str) -> Column:
         f"{rest} > 0.5D OR ({rest} = 0.5D AND "
         f"({tail} > 0D OR ({tail} = 0D AND pmod({whole}, 2) = 1)))"
     )
-    return F.expr(
+    return (
         f"CASE WHEN isnan({name}) THEN 'nan' WHEN {size} = double('inf') "
         f"THEN if({name} < 0D, '-inf', 'inf') ELSE concat(if({name} < 0D, '-', ''), "
         f"format_string('%.2f', if({up}, {whole} + 1, {whole}) / 100D)) END"
-    ).alias(name)
+    )

@@ -18,7 +18,7 @@ def airport_measures(settings: Settings = DEFAULTS) -> list[Column]:
         F.count("*").alias("num"),
         F.count_if(is_severe(settings)).alias("severe"),
         F.sum(delay).alias("sum_delay"),
-        F.max(F.nanvl(delay, F.lit(float("-inf")))).alias("max_delay"),
+        F.max(F.when(~F.isnan(delay), delay)).alias("max_delay"),  # NULL if none is a number
         F.min("seq").alias("first_seq"),
     ]
 

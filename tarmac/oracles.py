@@ -184,10 +184,14 @@ SELECT {stamp("ws")} AS ts, origin AS origin_airport_id, severe AS severe_delays
   coalesce(text, '[]') AS delayed_flights
 FROM airports LEFT JOIN lists USING (ws, we, origin)"""
 
-PREAGG_TOP20_TEXT = f"""WITH {FLIGHTS}, {airports("6h")}, {worst(source="airports")}, {PIPES}
+def preagg_top20(size: str) -> str:
+    return f"""WITH {FLIGHTS}, {airports(size)}, {worst(source="airports")}, {PIPES}
 SELECT {PREAGG_COLUMNS}, coalesce(text, '') AS top_str
 FROM airports LEFT JOIN lists USING (ws, we, origin)"""
 
+
+PREAGG_TOP20_TEXT = preagg_top20("6h")
+
 WINDOWS_GROUPED = f"""WITH {FLIGHTS}, {airports("6h")}
 SELECT {stamp("ws")} AS window_start, {stamp("we")} AS window_end, count(*) AS airports,
   count(*) FILTER (num >= {MIN_FLIGHTS["6h"]}) AS qualifying,
@@ -349,5 +353,12 @@ SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
     **{f"stream_q2_preagg_{size}": preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": top_airports("6h"),
     "stream_q2_top20_120d": TOP20,
+    "stream_preagg_all_sizes": " UNION ALL ".join(
+        f"SELECT *, '{size}' AS span FROM ({preagg(size)})" for size in WINDOWS_MS
+    ),
+    "stream_preagg_lists_all_sizes": " UNION ALL ".join(
+        f"SELECT *, '{size}' AS span FROM ({preagg_top20(size)})" for size in WINDOWS_MS
+    ),
+    "stream_q2_preagg_top20_6h": PREAGG_TOP20_TEXT,
     "stream_then_post_6h": post_report("6h"),
 }

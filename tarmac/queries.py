@@ -6,12 +6,13 @@ is 2 per hour and 3 per six hours there; everything else keeps its default.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.lists import bracketed
+from tarmac.functions.lists import bracketed, piped
 from tarmac.functions.times import stamp
 from tarmac.operators.airports import (
     airport_stats,
@@ -62,10 +63,11 @@ from tarmac.sources.lines import (
     to_lines,
 )
 from tarmac.sources.tables import damaged_lines, table_flights, table_monthly
-from tarmac.streaming.lists import merge_candidates, worst_flights_stream
+from tarmac.streaming.lists import airport_lists_stream, merge_candidates, worst_flights_stream
 from tarmac.streaming.replay import feed, write_replay
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import each_batch, finish, to_csv
+from tarmac.streaming.sinks import each_batch, finish, to_csv, to_folders
+from tarmac.streaming.spans import airport_spans_stream, start_with_rocksdb
 
 STEPS = {"1h": WINDOWS_MS["1h"], "6h": WINDOWS_MS["6h"], "global": None}
 MIN_FLIGHTS = {"1h": 2, "6h": 3, "global": 30}
@@ -380,6 +382,45 @@ def stream_q2_top20_120d(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _all_sizes(spark: SparkSession, folder: str, label: str, stream) -> DataFrame:
+    """One query over the lines that feeds a folder for each window length, read back together."""
+    replayed = Replayed(spark, label).write(folder)
+    report = stream(replayed.stream())
+    folders = {size: f"{replayed.out}/{size}" for size in WINDOWS_MS}
+    finish(start_with_rocksdb(spark, lambda: to_folders(report, "span", folders, replayed.checkpoint)))
+    columns = report.drop("span").schema
+    parts = [
+        spark.read.schema(columns).csv(f"{path}/batch=*").withColumn("span", F.lit(size))
+        for size, path in folders.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def stream_preagg_all_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return _all_sizes(
+        spark, folder, "preagg-all",
+        lambda lines: preagg_report(airport_spans_stream(lines, WINDOWS_MS), F.col("span")),
+    )
+
+
+def stream_preagg_lists_all_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return _all_sizes(
+        spark, folder, "lists-all",
+        lambda lines: preagg_report(
+            airport_lists_stream(lines, WINDOWS_MS), piped(F.col("delayed")).alias("top_str"), F.col("span")
+        ),
+    ).fillna("", ["top_str"])
+
+
+def stream_q2_preagg_top20_6h(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics and list from one state, as the eighth column of the pre-aggregate's files."""
+    replayed = Replayed(spark, "preagg-list").write(folder)
+    listed = airport_lists_stream(replayed.stream(), {"6h": WINDOWS_MS["6h"]})
+    report = preagg_report(listed, piped(F.col("delayed")).alias("top_str"))
+    finish(start_with_rocksdb(spark, lambda: to_csv(report, replayed.out, replayed.checkpoint)))
+    return spark.read.schema(report.schema).csv(replayed.out).fillna("", ["top_str"])
+
+
 def stream_then_post_6h(spark: SparkSession, folder: str) -> DataFrame:
     """Pre-aggregates from the stream's files, lists from the events."""
     replayed = Replayed(spark, "stream-post").write(folder)
@@ -423,5 +464,8 @@ QUERIES = {
     **{f"stream_q2_preagg_{size}": stream_preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": stream_q2_top_airports_6h,
     "stream_q2_top20_120d": stream_q2_top20_120d,
+    "stream_preagg_all_sizes": stream_preagg_all_sizes,
+    "stream_preagg_lists_all_sizes": stream_preagg_lists_all_sizes,
+    "stream_q2_preagg_top20_6h": stream_q2_preagg_top20_6h,
     "stream_then_post_6h": stream_then_post_6h,
 }

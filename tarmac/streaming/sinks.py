@@ -65,11 +65,44 @@ def each_batch(
     """Apply a batch-only step (a ranking, say) to the rows of each micro-batch.
 
     All rows of a window leave the aggregation in the same micro-batch, so a per-window step sees
-    the window whole. A repeated micro-batch overwrites its own folder.
+    the window whole. A repeated micro-batch overwrites its own folder; one without rows has none.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        report(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if rows := _settled(report(batch)):
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            rows.unpersist()
 
+    return _started(stream, write, checkpoint, every)
+
+
+def to_folders(
+    stream: DataFrame, by: str, folders: dict[str, str], checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """One query, several sinks: CSV files without header, in the folder that `by` names.
+
+    A micro-batch is computed once and dealt out; each folder gets a `batch=<n>` folder for it, if it
+    has rows for it. A repeated micro-batch overwrites its own.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if rows := _settled(batch):
+            there = {row[0] for row in rows.select(by).distinct().collect()}
+            for value in sorted(there):
+                part = rows.where(F.col(by) == value).drop(by)
+                part.write.mode("overwrite").csv(f"{folders[value]}/batch={batch_id}")
+            rows.unpersist()
+
+    return _started(stream, write, checkpoint, every)
+
+
+def _settled(rows: DataFrame) -> DataFrame | None:
+    """The rows, kept while they are written; None if there are none."""
+    rows = rows.persist()
+    if not rows.isEmpty():
+        return rows
+    rows.unpersist()
+
+
+def _started(stream: DataFrame, write, checkpoint: str, every: str | None) -> StreamingQuery:
     return (
         stream.writeStream.outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
