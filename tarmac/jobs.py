@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tarmac.functions.lists import piped
 from tarmac.functions.numbers import two_decimals
-from tarmac.operators.airports import preagg_report
+from tarmac.operators.airports import preagg_report, rank_airports, ranking_report
 from tarmac.operators.carriers import carrier_text
 from tarmac.plans.airports import airport_reports
 from tarmac.plans.postprocess import report_from_preagg
 from tarmac.plans.prepare import prepare_events
 from tarmac.settings import DEFAULTS, WINDOWS_MS, Settings
-from tarmac.sinks.files import write_event_table, write_events, write_ranking, write_rankings
+from tarmac.sinks.files import ranking_text, write_event_table, write_events, write_ranking, write_rankings
 from tarmac.sources.files import (
     read_event_table,
     read_flights,
@@ -21,10 +23,11 @@ from tarmac.sources.files import (
     read_preagg,
 )
 from tarmac.sources.lines import stream_lines
-from tarmac.streaming.lists import merge_candidates, worst_flights_stream
+from tarmac.streaming.lists import airport_lists_stream
 from tarmac.streaming.replay import close_lines
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import all_of, each_batch, finish, to_csv
+from tarmac.streaming.sinks import finish, to_csv, to_folders
+from tarmac.streaming.spans import airport_spans_stream, start_with_rocksdb
 
 # The windows of the airport reports and the folders of the pre-aggregates.
 REPORT_SPANS = {"1h": WINDOWS_MS["1h"], "6h": WINDOWS_MS["6h"], "global": None}
@@ -73,35 +76,47 @@ def airports(
 
 
 def preaggregate(
-    spark: SparkSession, lines: str, output_root: str, checkpoint_root: str,
+    spark: SparkSession, lines: str, output_root: str, checkpoint: str,
     settings: Settings = DEFAULTS, files_per_trigger: int | None = None, lists: bool = False,
     every: str | None = None, close: bool = False,
 ) -> None:
     """Event lines -> per-(window, airport) statistics for 1 h, 6 h and 120 days.
 
-    `lists` also keeps the worst flights of each, as Parquet below <folder>_worst. `close` ends the
-    feed, as for carriers_by_hour.
+    One query reads the lines for all three; each window has a folder with a part for every
+    micro-batch that closed some. `lists` adds the worst flights of each as an eighth column. `close`
+    ends the feed, as for carriers_by_hour.
     """
     if close:
         close_lines(spark, lines)
+    source = stream_lines(spark, lines, files_per_trigger)
+    spans = {folder: WINDOWS_MS[size] for folder, size in PREAGG_FOLDERS.items()}
+    if lists:
+        stats = airport_lists_stream(source, spans, settings)
+        report = preagg_report(stats, piped(F.col("delayed")).alias("top_str"), F.col("span"))
+    else:
+        report = preagg_report(airport_spans_stream(source, spans, settings), F.col("span"))
+    report = report.withColumns({n: two_decimals(n) for n in ("sum_delay", "max_delay")})
+    folders = {folder: f"{output_root}/{folder}" for folder in spans}
+    finish(start_with_rocksdb(spark, lambda: to_folders(report, "span", folders, checkpoint, every)))
+
+
+def top_airports(
+    spark: SparkSession, lines: str, output: str, checkpoint: str, size: str = "6h",
+    settings: Settings = DEFAULTS, files_per_trigger: int | None = None,
+    every: str | None = None, close: bool = False,
+) -> None:
+    """Event lines -> the top airports of each window as it closes, as CSV below batch folders.
+
+    `size` is a key of WINDOWS_MS; `close` ends the feed, as for carriers_by_hour.
+    """
+    if close:
+        close_lines(spark, lines)
+    stats = airport_stream(stream_lines(spark, lines, files_per_trigger), WINDOWS_MS[size], settings)
+
+    def report(batch: DataFrame) -> DataFrame:
+        return ranking_text(ranking_report(rank_airports(batch, settings))).withColumn("span", F.lit(size))
 
-    def source() -> DataFrame:
-        return stream_lines(spark, lines, files_per_trigger)
-
-    starts = {}
-    for folder, size in PREAGG_FOLDERS.items():
-        stats = preagg_report(airport_stream(source(), WINDOWS_MS[size], settings))
-        stats = stats.withColumns({n: two_decimals(n) for n in ("sum_delay", "max_delay")})
-        starts[folder] = lambda s=stats, f=folder: to_csv(
-            s, f"{output_root}/{f}", f"{checkpoint_root}/{f}", every=every
-        )
-        if lists:
-            worst = worst_flights_stream(source(), WINDOWS_MS[size], settings)
-            starts[f"{folder}_worst"] = lambda s=worst, f=f"{folder}_worst": each_batch(
-                s, f"{output_root}/{f}", f"{checkpoint_root}/{f}",
-                lambda batch: merge_candidates(batch, settings), every,
-            )
-    all_of(starts)
+    finish(to_folders(stats, "span", {size: output}, checkpoint, every, report))
 
 
 def postprocess(

@@ -73,7 +73,7 @@ def stats_for_spans(
 
     The shortest window is aggregated from the flights; the longer ones, which must be multiples
     of it, and the whole dataset (None) add up its rows. `slot` is the window's start, or 0 for
-    the whole dataset, whose bounds are only known in the end.
+    the whole dataset. `first_ms` and `last_ms` are the airport's own; see with_bounds.
     """
     base = min(step for step in spans.values() if step is not None)
     if any(step is not None and step % base for step in spans.values()):
@@ -95,17 +95,29 @@ def stats_for_spans(
         *[F.min(n).alias(n) for n in ("first_seq", "first_ms")],
         F.max("last_ms").alias("last_ms"),
     )
-    window = Window.partitionBy("span", "slot")
-    length = F.create_map(
-        *[F.lit(x) for name, step in spans.items() if step for x in (name, step)]
-    )[F.col("span")].cast("bigint")
-    bounds = {
-        "ws": F.when(length.isNull(), F.min("first_ms").over(window)).otherwise(F.col("slot")),
-        "we": F.coalesce(
-            F.col("slot") + length, F.max("last_ms").over(window) + F.lit(1).cast("bigint")
-        ),
-    }
-    return added.withColumns(bounds).drop("first_ms", "last_ms")
+    return added
+
+
+def with_bounds(ranked: DataFrame, stats: DataFrame, spans: dict[str, int | None]) -> DataFrame:
+    """Rows of stats_for_spans with the bounds [ws, we) of their windows.
+
+    Attached to the few rows that a ranking has left. Fixed windows follow from their slot; the whole
+    dataset runs from the first flight of all airports in `stats` to just after the last, which are
+    one row for each such span, summed up before they meet.
+    """
+    whole = [name for name, step in spans.items() if step is None]
+    steps = F.create_map(*[F.lit(x) for name, step in spans.items() if step for x in (name, step)])
+    if whole:
+        ends = stats.where(F.col("span").isin(whole)).groupBy("span", "slot").agg(
+            F.min("first_ms").alias("from_ms"), F.max("last_ms").alias("to_ms")
+        )
+        ranked = ranked.join(F.broadcast(ends), ["span", "slot"], "left")
+    else:
+        ranked = ranked.withColumns({n: F.lit(None).cast("bigint") for n in ("from_ms", "to_ms")})
+    end = F.coalesce(F.col("slot") + steps[F.col("span")].cast("bigint"), F.col("to_ms") + 1)
+    return ranked.withColumns({"ws": F.coalesce("from_ms", "slot"), "we": end}).drop(
+        "first_ms", "last_ms", "from_ms", "to_ms"
+    )
 
 
 def in_spans(ms: Column, spans: dict[str, int | None]) -> Column:

@@ -4,60 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.session import settle
-from tarmac.settings import DAY_MS
+from tarmac.session import stored
 
+#: Row ids hold the task above this bit and the row within it below.
+_TASK_BIT = 33
 
-def with_position(
-    rows: DataFrame, time: str, blocks: Sequence[str], within: Sequence[str], name: str = "seq"
-) -> DataFrame:
-    """Number the rows 0, 1, 2... by time, equal times in source order.
 
-    `blocks` name the piece of source a row came from, in source order and small enough for one
-    task (a run of rows or ids); `within` orders the rows of a piece. A row must come with the
-    same piece each time it is read, so places found by a file scan have to be stored columns.
+def with_position(rows: DataFrame, order: Sequence[str], name: str = "seq") -> DataFrame:
+    """Number the rows 0, 1, 2... in the order of the columns `order`, nulls last.
 
-    Rows are counted per (time, piece), the counts are summed up to offsets, and only a
-    (time, piece) group is ever numbered in one task: a busy minute spreads over as many tasks as
-    it has pieces. Offsets add up in levels (day, time, piece), so each running sum covers one
-    level only; the single-task one has a row per day. The counts are settled, as all levels
-    start from them. Rows without a time come last.
+    One range shuffle deals the rows out in order, and each task sorts its range and stores it. A
+    range has as many rows as its predecessors add up to before it, so the counts, one number for
+    each task, are all that comes to the driver, and a row's place is its range's offset plus its
+    place there. `order` should tell rows apart, so that a busy moment can be split over ranges.
     """
-    at = F.coalesce(F.col(time), F.lit(2**63 - 1)).cast("bigint")
-    keyed = rows.withColumn("at", at)
-    pieces = settle(
-        keyed.groupBy("at", *blocks).agg(F.count("*").alias("n"))
-        .withColumn("day", F.floor(F.col("at") / F.lit(DAY_MS)))
-    )
-
-    def before(window) -> Column:
-        """What comes before in the window, from 0."""
-        running = F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1))
-        return F.coalesce(running, F.lit(0).cast("bigint"))
-
-    times = pieces.groupBy("day", "at").agg(F.sum("n").alias("n"))
-    days = pieces.groupBy("day").agg(F.sum("n").alias("n")).withColumn("all", F.lit(0))
-    day_start = days.select(
-        "day", before(Window.partitionBy("all").orderBy("day")).alias("day_start")
-    )
-    time_start = times.select(
-        "day", "at", before(Window.partitionBy("day").orderBy("at")).alias("time_start")
-    ).join(day_start, "day")
-    piece_start = pieces.select(
-        "at", *blocks, before(Window.partitionBy("at").orderBy(*blocks)).alias("piece_start")
-    ).join(time_start, "at").select(
-        "at", *blocks,
-        (F.col("day_start") + F.col("time_start") + F.col("piece_start")).alias("start"),
-    )
-
-    numbered = keyed.withColumn(
-        "nth", F.row_number().over(Window.partitionBy("at", *blocks).orderBy(*within))
-    )
-    return (
-        numbered.join(piece_start, ["at", *blocks])
-        .withColumn(name, F.col("start") + F.col("nth") - F.lit(1))
-        .drop("at", "start", "nth")
-    )
+    by = [F.asc_nulls_last(column) for column in order]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = stored(ordered.withColumn("at", F.monotonically_increasing_id()), "ordered")
+    task = F.shiftright("at", _TASK_BIT).cast("int")
+    counts = dict(placed.groupBy(task.alias("task")).agg(F.count("*")).collect())
+    before, total = [], 0
+    for n in range(max(counts, default=-1) + 1):
+        before.append(str(total))
+        total += counts.get(n, 0)
+    offsets = F.split(F.lit(",".join(before)), ",").cast("array<bigint>")
+    within = F.col("at").bitwiseAND(F.lit((1 << _TASK_BIT) - 1))
+    return placed.withColumn(name, F.get(offsets, task) + within).drop("at")

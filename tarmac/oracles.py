@@ -338,6 +338,12 @@ SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
     "parse_lines_full": PARSE_FULL,
     "scan_csv_roundtrip": SCAN,
     "scan_csv_tolerant": SCAN_TOLERANT,
+    "scan_csv_plain": f"""WITH {FLIGHTS}
+SELECT carrier, origin, dest, dep_delay, cancelled, diverted, event_time,
+  row_number() OVER (ORDER BY event_time, seq) - 1 AS seq FROM flights""",
+    "q2_reports_from_plain_csv": " UNION ALL ".join(
+        f"SELECT *, '{size}' AS span FROM ({report(size)})" for size in SIZES
+    ),
     "event_table_roundtrip": EVENT_TABLE,
     "report_files_roundtrip": " UNION ALL ".join(
         f"SELECT '{size}' AS span, {report_lines(report(size), quote=True)}" for size in SIZES

@@ -17,6 +17,7 @@ from tarmac.operators.airports import (
     rank_airports,
     ranking_report,
     stats_for_spans,
+    with_bounds,
     with_window,
 )
 from tarmac.operators.flights import flown, is_severe
@@ -88,10 +89,9 @@ def airport_reports(
         pairs = [F.lit(x) for pair in min_flights.items() for x in pair]
         least = F.coalesce(F.create_map(*pairs)[F.col("span")], F.lit(settings.min_flights))
     keys = ["span", "slot", "origin"]
-    stats = stats_for_spans(flown(flights), spans, settings)
-    ranked = settle(
-        rank_airports(stats, settings, window=("span", "slot"), min_flights=least)
-    )
+    stats = settle(stats_for_spans(flown(flights), spans, settings))
+    ranked = rank_airports(stats, settings, window=("span", "slot"), min_flights=least)
+    ranked = settle(with_bounds(ranked, stats, spans))
     severe = severe_flights(flights, settings)
     severe = severe.withColumn("s", F.explode(in_spans(F.col("event_time"), spans))).select(
         *severe.columns, "s.span", "s.slot"

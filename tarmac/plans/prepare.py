@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tarmac.functions.times import event_time_ms
 from tarmac.operators.ordering import with_position
 from tarmac.schema import EVENTS
-from tarmac.session import stored
 from tarmac.sources.files import SOURCE
 
 
@@ -24,9 +23,7 @@ def with_event_time(monthly: DataFrame, strict: bool = True) -> DataFrame:
 def prepare_events(monthly: DataFrame, strict: bool = True) -> DataFrame:
     """The 17 event columns plus `seq`, the row's place in event order.
 
-    Flights of the same minute keep the order of the files and of the rows in them. The files
-    are read once, into a table that holds each row's source place.
+    Flights of the same minute keep the order of the files and of the rows in them.
     """
-    timed = stored(with_event_time(monthly, strict), "timed")
-    ordered = with_position(timed, "event_time", SOURCE[:-1], SOURCE[-1:])
+    ordered = with_position(with_event_time(monthly, strict), ["event_time", *SOURCE])
     return ordered.select(*EVENTS.fieldNames(), "seq")

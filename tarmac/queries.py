@@ -24,6 +24,7 @@ from tarmac.operators.airports import (
 )
 from tarmac.operators.carriers import carrier_text, hourly_carrier_stats
 from tarmac.operators.flights import flown
+from tarmac.operators.ordering import with_position
 from tarmac.plans.airports import (
     airport_lists,
     airport_preagg,
@@ -240,6 +241,25 @@ def scan_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_flights(spark, _event_file(spark, folder))
 
 
+def _plain_csv(spark: SparkSession, folder: str) -> str:
+    """The event file as others write it: in event order, without places."""
+    path = scratch(spark, "plain-events")
+    ordered = table_monthly(table_flights(spark, folder)).orderBy("event_time", "seq")
+    ordered.select(*EVENTS.fieldNames()).write.option("header", True).csv(path)
+    return path
+
+
+def scan_csv_plain(spark: SparkSession, folder: str) -> DataFrame:
+    """The file's flights, numbered by their composite place."""
+    flights = read_flights(spark, _plain_csv(spark, folder))
+    return with_position(flights.withColumnRenamed("seq", "place"), ["place"]).drop("place")
+
+
+def q2_reports_from_plain_csv(spark: SparkSession, folder: str) -> DataFrame:
+    flights = read_flights(spark, _plain_csv(spark, folder))
+    return ranking_text(airport_reports(flights, STEPS, DEFAULTS, MIN_FLIGHTS))
+
+
 def scan_csv_tolerant(spark: SparkSession, folder: str) -> DataFrame:
     return read_flights_tolerant(spark, _event_file(spark, folder))
 
@@ -454,6 +474,8 @@ QUERIES = {
     "parse_lines_full": parsed(parse_events),
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "scan_csv_tolerant": scan_csv_tolerant,
+    "scan_csv_plain": scan_csv_plain,
+    "q2_reports_from_plain_csv": q2_reports_from_plain_csv,
     "event_table_roundtrip": event_table_roundtrip,
     "report_files_roundtrip": report_files_roundtrip,
     "post_report_files_roundtrip": post_report_files_roundtrip,

@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.numbers import float_or_zero, number_or_zero, strict_int
-from tarmac.operators.ordering import with_position
 from tarmac.schema import EVENTS, FLIGHT_COLUMNS, MONTHLY, PREAGG
-from tarmac.session import stored
 
-# Where a row came from: file, split of the file, run of rows, row. In this order they sort the
-# rows as the files hold them; the first three name a piece of at most 2**RUN_BITS rows.
-SOURCE = ("src_file", "src_block", "src_run", "src_row")
-RUN_BITS = 20
+# Where a row came from: file, split of the file, row. In this order they sort the rows as the files
+# hold them, however the files were split.
+SOURCE = ("src_file", "src_block", "src_row")
 
 
 def list_files(spark: SparkSession, path: str, glob: str) -> list[str]:
@@ -54,12 +51,10 @@ def _tail(files: list[str]) -> int:
 
 def _source(tail: int) -> list[Column]:
     """The SOURCE columns. Row ids grow within a split; a compressed file is a single split."""
-    row = F.monotonically_increasing_id()
     return [
         F.substring_index("_metadata.file_path", "/", -tail).alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-        F.shiftright(row, RUN_BITS).alias("src_run"),
-        row.alias("src_row"),
+        F.monotonically_increasing_id().alias("src_row"),
     ]
 
 
@@ -121,15 +116,18 @@ def _event_scan(spark: SparkSession, path: str, as_text: bool) -> DataFrame:
 
 
 def _with_seq(flights: DataFrame) -> DataFrame:
-    """Event files from elsewhere have no `seq`: number their rows by time and file order."""
+    """Event files from elsewhere have no `seq`: time and source place together take its part.
+
+    They order flights as numbers would, through every ranking and list, without counting first;
+    `with_position` makes numbers of them where numbers are wanted.
+    """
     if "seq" in flights.columns:
         return flights
-    placed = stored(flights, "placed")
-    return with_position(placed, "event_time", SOURCE[:-1], SOURCE[-1:]).drop(*SOURCE)
+    return flights.withColumn("seq", F.struct("event_time", *SOURCE)).drop(*SOURCE)
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
-    """The flight columns of a typed event file, with `seq`."""
+    """The flight columns of a typed event file, with `seq`, its place in event order."""
     scan = _event_scan(spark, path, as_text=False)
     place = [F.col("seq")] if "seq" in scan.columns else _source(1)
     names = [F.col(name).alias(new) for name, new in FLIGHT_COLUMNS.items()]

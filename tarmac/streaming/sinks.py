@@ -76,15 +76,16 @@ def each_batch(
 
 
 def to_folders(
-    stream: DataFrame, by: str, folders: dict[str, str], checkpoint: str, every: str | None = None
+    stream: DataFrame, by: str, folders: dict[str, str], checkpoint: str, every: str | None = None,
+    report: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
     """One query, several sinks: CSV files without header, in the folder that `by` names.
 
-    A micro-batch is computed once and dealt out; each folder gets a `batch=<n>` folder for it, if it
+    `report` is a batch-only step on what closed. A micro-batch is computed once and dealt out; each folder gets a `batch=<n>` folder for it, if it
     has rows for it. A repeated micro-batch overwrites its own.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        if rows := _settled(batch):
+        if rows := _settled(report(batch)):
             there = {row[0] for row in rows.select(by).distinct().collect()}
             for value in sorted(there):
                 part = rows.where(F.col(by) == value).drop(by)

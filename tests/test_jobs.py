@@ -1,5 +1,6 @@
 """The jobs end to end: monthly files, event file, replayed lines, all reports."""
 
+import pathlib
 import random
 
 import pytest
@@ -7,9 +8,12 @@ from pyspark.sql import functions as F
 
 from tarmac import jobs
 from tarmac.schema import EVENTS
-from tarmac.settings import Settings
+from tarmac.settings import DAY_MS, HOUR_MS, Settings
+from tarmac.sources.files import read_preagg
 from tarmac.sources.lines import stream_lines
 from tarmac.streaming.replay import write_replay
+from tarmac.streaming.sinks import finish, to_folders
+from tarmac.streaming.spans import airport_spans_stream, start_with_rocksdb
 
 MONTHS = EVENTS.fieldNames()[:-1]
 
@@ -91,13 +95,43 @@ def test_no_report_without_preaggregates(spark, world, tmp_path):
 
 
 def test_preaggregate_with_lists(spark, world):
+    """The list is an eighth column, which readers of the seven may ignore."""
     jobs.preaggregate(
         spark, f"{world}/lines", f"{world}/listed", f"{world}/listed-state", SETTINGS, lists=True
     )
-    worst = spark.read.parquet(f"{world}/listed/q2_global_worst")
-    assert worst.agg(F.max("place")).first()[0] == 5
+    jobs.preaggregate(spark, f"{world}/lines", f"{world}/bare", f"{world}/bare-state", SETTINGS)
+    for folder in ("q2_1h", "q2_6h", "q2_global"):
+        listed, bare = (read_preagg(spark, f"{world}/{root}/{folder}") for root in ("listed", "bare"))
+        assert sorted(listed.collect()) == sorted(bare.collect())
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{world}/listed/q2_global")
+    parts = [row.value.split(",") for row in lines.collect()]
+    assert {len(p) for p in parts} == {8} and max(len(p[7].split(";")) for p in parts) == 5
     # 120-day windows count from 1970, so these four months fall into two of them.
-    assert worst.select("ws").distinct().count() == 2
+    assert len({p[0] for p in parts}) == 2
+
+
+def test_one_query_reads_the_lines_once(spark, world):
+    """Three window lengths take in each line once: one source, as many rows as there are lines."""
+    spans = {"1h": HOUR_MS, "6h": 6 * HOUR_MS, "120d": 120 * DAY_MS}
+    stream = airport_spans_stream(stream_lines(spark, f"{world}/lines", 1), spans)
+    folders = {span: f"{world}/once/{span}" for span in spans}
+    query = start_with_rocksdb(spark, lambda: to_folders(stream, "span", folders, f"{world}/once-state"))
+    finish(query)
+    progress = query.recentProgress
+    assert {len(p["sources"]) for p in progress} == {1}
+    assert sum(p["numInputRows"] for p in progress) == spark.read.text(f"{world}/lines").count()
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    # No folder for a window length that closed nothing in a micro-batch.
+    longest = [b.name for b in pathlib.Path(folders["120d"]).iterdir()]
+    assert 0 < len(longest) < len([b for b in pathlib.Path(folders["1h"]).iterdir()])
+
+
+def test_top_airports_job_ranks_each_window(spark, world):
+    jobs.top_airports(spark, f"{world}/lines", f"{world}/top", f"{world}/top-state", "6h", SETTINGS)
+    rows = [r.value.split(",") for r in spark.read.option("recursiveFileLookup", True).text(f"{world}/top").collect()]
+    batch = spark.read.option("header", True).csv(f"{world}/reports/span=6h")
+    want = sorted((r["ts"], r["rank"], r.num_flights, r.severe_delays) for r in batch.collect())
+    assert sorted((r[0], r[1], r[3], r[4]) for r in rows) == want
 
 
 def test_job_resumes_from_its_checkpoint(spark, world):

@@ -147,10 +147,10 @@ def test_positions_of_one_hot_minute(spark):
     rows += [(3 * 24 * HOUR_MS, n) for n in range(5000, 5050)]
     no_time = [(None, n) for n in range(5050, 5060)]
     frame = spark.createDataFrame(rows + no_time, "event_time bigint, id bigint").repartition(5)
-    pieces = frame.withColumn("piece", F.floor(F.col("id") / 100))
-    got = with_position(pieces, "event_time", ["piece"], ["id"], "place").collect()
+    got = with_position(frame, ["event_time", "id"], "place").collect()
     want = {n: place for place, (_, n) in enumerate(sorted(rows) + no_time)}
     assert {r.id: r.place for r in got} == want
+    assert with_position(frame.where("false"), ["event_time", "id"]).isEmpty()
 
 
 def test_roll_up_equals_the_direct_aggregate(flights):

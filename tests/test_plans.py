@@ -5,14 +5,16 @@ import re
 import pytest
 
 from tarmac import jobs
-from tarmac.operators.airports import airport_stats, rank_airports, stats_for_spans
+from tarmac.operators import ordering
+from tarmac.operators.airports import airport_stats, rank_airports, stats_for_spans, with_bounds
 from tarmac.operators.carriers import hourly_carrier_stats
 from tarmac.operators.flights import flown
 from tarmac.plans.airports import airport_report, airport_reports, severe_flights
-from tarmac.session import scratch
+from tarmac.schema import EVENTS
+from tarmac.session import scratch, settle, stored
 from tarmac.settings import HOUR_MS, Settings
 from tarmac.sinks.files import write_event_table
-from tarmac.sources.files import read_event_table
+from tarmac.sources.files import read_event_table, read_flights
 from tarmac.sources.lines import parse_airport_flights, parse_carrier_flights, read_lines, to_lines
 from tarmac.sources.tables import table_monthly
 
@@ -61,6 +63,36 @@ def test_statistics_of_all_windows_scan_once(table):
     assert plan.count("Scan parquet") == 1 and "SortAggregate" not in plan
 
 
+def test_rank_limit_goes_below_the_shuffle_and_bounds_after_it(spark, table):
+    """Of an airport's window rows, the whole dataset's too, only possible winners are shuffled."""
+    spans = {"1h": HOUR_MS, "global": None}
+    stats = settle(stats_for_spans(flown(table), spans))
+    plan = plan_of(with_bounds(rank_airports(stats, window=("span", "slot")), stats, spans))
+    limits = re.search(r"WindowGroupLimit[^\n]*Final.*?Exchange hashpartitioning\(span.*?WindowGroupLimit[^\n]*Partial", plan, re.S)
+    assert limits and "SinglePartition" not in plan
+
+
+def test_event_order_takes_one_shuffle(spark, flights, monkeypatch):
+    plans = []
+
+    def looked_at(frame, label):
+        plans.append(plan_of(frame))
+        return stored(frame, label)
+
+    monkeypatch.setattr(ordering, "stored", looked_at)
+    result = ordering.with_position(flights.drop("seq"), ["event_time", "origin", "dest"])
+    assert len(plans) == 1 and plans[0].count("Exchange rangepartitioning") == plans[0].count("Exchange") == 1
+    assert "Exchange" not in plan_of(result) and "Join" not in plan_of(result)
+
+
+def test_plain_event_files_are_read_without_a_job(spark, flights, tmp_path):
+    path = str(tmp_path / "plain")
+    events = table_monthly(flights)
+    events.select(*EVENTS.fieldNames()).write.option("header", True).csv(path)
+    plan = plan_of(read_flights(spark, path))
+    assert plan.count("Scan csv") == 1 and "Exchange" not in plan and "parquet" not in plan
+
+
 def test_reports_run_without_python_or_cross_joins(table):
     for report in (
         airport_report(table, HOUR_MS, Settings(min_flights=2)),
