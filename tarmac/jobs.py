@@ -13,6 +13,7 @@ from tarmac.operators.carriers import carrier_text
 from tarmac.plans.airports import airport_reports
 from tarmac.plans.postprocess import report_from_preagg
 from tarmac.plans.prepare import prepare_events
+from tarmac.session import ship_package
 from tarmac.settings import DEFAULTS, WINDOWS_MS, Settings
 from tarmac.sinks.files import ranking_text, write_event_table, write_events, write_ranking, write_rankings
 from tarmac.sources.files import (
@@ -26,7 +27,7 @@ from tarmac.sources.lines import stream_lines
 from tarmac.streaming.lists import airport_lists_stream
 from tarmac.streaming.replay import close_lines
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import finish, to_csv, to_folders
+from tarmac.streaming.sinks import finish, refuse_after_end, to_csv, to_folders
 from tarmac.streaming.spans import airport_spans_stream, start_with_rocksdb
 
 # The windows of the airport reports and the folders of the pre-aggregates.
@@ -52,8 +53,9 @@ def carriers_by_hour(
 
     Stops when all lines are read, and goes on from there when run again; with `every` (say
     "30 seconds") it keeps waiting for more. `close` ends the feed, so that the last hours come out
-    too; from then on, a run that finds new lines raises ClosedStreamError.
+    too; from then on, a run that finds new lines raises ClosedStreamError and reads none of them.
     """
+    refuse_after_end(spark, lines, checkpoint)
     if close:
         close_lines(spark, lines)
     report = carrier_text(carrier_stream(stream_lines(spark, lines, files_per_trigger), settings))
@@ -86,8 +88,10 @@ def preaggregate(
     micro-batch that closed some. `lists` adds the worst flights of each as an eighth column. `close`
     ends the feed, as for carriers_by_hour.
     """
+    refuse_after_end(spark, lines, checkpoint)
     if close:
         close_lines(spark, lines)
+    ship_package(spark)
     source = stream_lines(spark, lines, files_per_trigger)
     spans = {folder: WINDOWS_MS[size] for folder, size in PREAGG_FOLDERS.items()}
     if lists:
@@ -109,6 +113,7 @@ def top_airports(
 
     `size` is a key of WINDOWS_MS; `close` ends the feed, as for carriers_by_hour.
     """
+    refuse_after_end(spark, lines, checkpoint)
     if close:
         close_lines(spark, lines)
     stats = airport_stream(stream_lines(spark, lines, files_per_trigger), WINDOWS_MS[size], settings)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.session import fits_broadcast
+from tarmac.session import fits_broadcast, settle
 
-SALTS = 32
+#: Events of a (key, slot) that one task is to take.
+EVENTS_PER_COPY = 1 << 20
 
 
 def interval_join(
@@ -22,8 +23,9 @@ def interval_join(
     lies in exactly one, and the join is an equality on (key, class, slot) with the bounds as a
     rest condition. Both sides agree on one slot per pair, so no pair comes out twice.
 
-    Few windows are broadcast. Otherwise both sides shuffle, with the windows copied SALTS times
-    and the events dealt out over the copies, so a busy airport spreads over many tasks.
+    Few windows are broadcast. Otherwise both sides shuffle, and a (key, slot) that the events' counts
+    show to be busy has a copy of its windows for every EVENTS_PER_COPY of them, over which they are
+    dealt out; any other has one.
     """
     length = F.col(end) - F.col(start)
     classed = windows.where(length > 0).withColumn(
@@ -41,12 +43,22 @@ def interval_join(
     if fits_broadcast(windows):
         right = F.broadcast(slotted)
     else:
-        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        right = slotted.withColumn("salt", F.explode(salts))
-        timed = timed.withColumn(
-            "salt", F.pmod(F.xxhash64(*events.columns), F.lit(SALTS)).cast("int")
-        )
+        busy = settle(busy_slots(timed, on))
+        busy = F.broadcast(busy) if fits_broadcast(busy) else busy
+        copies = F.coalesce("copies", F.lit(1))
+        right = slotted.join(busy, on, "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), copies - 1))
+        ).drop("copies")
+        timed = timed.join(busy, on, "left").withColumn(
+            "salt", F.pmod(F.xxhash64(*events.columns), copies).cast("int")
+        ).drop("copies")
         on = [*on, "salt"]
     joined = timed.join(right, on)
     covered = (F.col(time) >= F.col(start)) & (F.col(time) < F.col(end))
     return joined.where(covered).drop("span", "slot", "salt")
+
+
+def busy_slots(timed: DataFrame, on: list[str]) -> DataFrame:
+    """The groups of `timed` by `on` that need more than one copy of their windows, and how many."""
+    copies = F.ceil(F.count("*") / EVENTS_PER_COPY).cast("int")
+    return timed.groupBy(*on).agg(copies.alias("copies")).where("copies > 1")

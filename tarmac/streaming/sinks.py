@@ -7,18 +7,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tarmac.settings import DAY_MS
+from tarmac.sources.lines import END_MS
+
 #: Watermarks from here on (as progress reports print them) come from the end line.
 CLOSED = "9998"
+CLOSED_MS = END_MS - DAY_MS
 
 
 class ClosedStreamError(RuntimeError):
     """Lines came to a query whose event time had been ended."""
 
 
+def refuse_after_end(spark: SparkSession, lines: str, checkpoint: str) -> None:
+    """Raise if `lines` has files that a query, whose event time has been ended, has not read.
+
+    Looked up in the query's checkpoint before it is started, so that nothing is consumed.
+    """
+    def logged(folder: str) -> DataFrame | None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/{folder}")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return spark.read.text(path.toString())
+
+    offsets, sources = logged("offsets"), logged("sources/0")
+    if offsets is None or sources is None:
+        return
+    mark = F.get_json_object("value", "$.batchWatermarkMs").cast("bigint")
+    if (offsets.agg(F.max(mark)).first()[0] or 0) < CLOSED_MS:
+        return
+
+    def plain(name) -> Column:
+        return F.regexp_replace(name, "^file:/+", "/")
+
+    read = sources.select(plain(F.get_json_object("value", "$.path")).alias("path"))
+    there = spark.read.format("binaryFile").load(lines).select(plain(F.col("path")).alias("path"))
+    if count := there.join(read, "path", "left_anti").count():
+        raise ClosedStreamError(
+            f"{count} files came after the end of the stream and are not read; "
+            "read the feed again with a new checkpoint"
+        )
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a query; raise if it read lines after the one that ends event time.
 

@@ -122,6 +122,7 @@ def test_report_is_the_same_without_the_broadcast(spark, flights, step, monkeypa
 @pytest.mark.parametrize("small", [True, False])
 def test_interval_join_matches_brute_force(spark, small, monkeypatch):
     monkeypatch.setattr(intervals, "fits_broadcast", lambda *_: small)
+    monkeypatch.setattr(intervals, "EVENTS_PER_COPY", 7)
     rng = random.Random(3)
     windows = [(rng.randrange(-50, 900), rng.randrange(1, 4)) for _ in range(60)]
     # All lengths from 1 to the whole range, exact powers of two among them, and an empty one.
@@ -140,6 +141,16 @@ def test_interval_join_matches_brute_force(spark, small, monkeypatch):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_only_busy_keys_get_copies(spark, monkeypatch):
+    """A key with a third of the events has a copy for every EVENTS_PER_COPY, all others have one."""
+    monkeypatch.setattr(intervals, "EVENTS_PER_COPY", 50)
+    rows = [(1 if n % 3 == 0 else 2 + n % 40, 10, n % 7) for n in range(900)]
+    frame = spark.createDataFrame(rows, "origin int, span int, slot int")
+    busy = intervals.busy_slots(frame, ["origin", "span"]).collect()
+    hot = sum(o == 1 for o, *_ in rows)
+    assert [tuple(b) for b in busy] == [(1, 10, -(-hot // 50))]
+
+
 def test_positions_of_one_hot_minute(spark):
     """Equal times spread over pieces; the numbers are still gap-free and in source order."""
     rng = random.Random(1)

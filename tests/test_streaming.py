@@ -13,7 +13,7 @@ from tarmac.sources.tables import table_monthly
 from tarmac.streaming.lists import merge_candidates, worst_flights_stream
 from tarmac.streaming.replay import feed, write_replay
 from tarmac.streaming.reports import airport_stream, carrier_stream
-from tarmac.streaming.sinks import ClosedStreamError, all_of, each_batch, finish, to_csv
+from tarmac.streaming.sinks import ClosedStreamError, all_of, each_batch, finish, refuse_after_end, to_csv
 
 
 def same(left, right):
@@ -85,9 +85,13 @@ def test_a_closed_stream_refuses_more_lines(spark, flights):
     def run():
         finish(to_csv(report, f"{root}/out", f"{root}/state"))
 
+    refuse_after_end(spark, f"{root}/lines", f"{root}/state")  # no checkpoint yet
     run()
+    refuse_after_end(spark, f"{root}/lines", f"{root}/state")
     run()  # nothing new
     to_lines(events.where("seq >= 300")).write.mode("append").text(f"{root}/lines")
+    with pytest.raises(ClosedStreamError, match="not read"):  # before any line is taken
+        refuse_after_end(spark, f"{root}/lines", f"{root}/state")
     with pytest.raises(ClosedStreamError):
         run()
 
