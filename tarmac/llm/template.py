@@ -7,16 +7,21 @@ they are the host's template, and the text between template tokens sits in slots
 the main text if it lies in the template's content element and in none that its tag or attributes
 name a menu, header, footer, sidebar, notice, advert, form or comment.
 
-Words are template if their class holds a template tag, and in runs if their class holds LEAST_WORDS
-words. Names break ties: in an element that is named as content (article, main, class words) only
-runs of LEAST_WORDS template words go, elsewhere single ones too. Wholly constant blocks that follow
-each other are one run. A page keeps its text if all of it would go, or more than half of what is in
-elements named as content: then it is a copy of other pages and not their template.
+A word is a template word if its class holds a template tag or LEAST_WORDS words. Only whole blocks
+go: a block all of whose words are template words has no slot, and it goes with the constant blocks
+next to it if they hold LEAST_WORDS words together or, outside of elements named as content, a word of
+a tag's class. A sentence with a slot stays as it is. A page keeps its text if all of it would go, or more than half of what is in elements
+named as content: then it is a copy of other pages and not their template.
 
 Occurrence vectors are never gathered: a token's vector is known by the sum of a hash of (page,
 count) over its pages, with the number of pages and occurrences, so a host with a third of all
-pages costs a sum. On hosts with few pages words share a vector by chance, so only whole blocks of
-template words go there, and none in elements named as content. The only page of a host uses the template of all hosts together.
+pages costs a sum. In an element named as content a constant block goes only if LEAST_PAGES pages of
+the host bear it out: on fewer, it is as likely a passage that some articles share. The only page of a
+host uses the template of all hosts together.
+
+A tag that the page ends in is dropped with what is in it; a quote that is never closed is an ordinary
+character of its tag. An article's own heading is part of it, whatever its name, and so is a header
+within an article but for what else in it is boilerplate; formulas are part of the text around them.
 """
 
 from __future__ import annotations
@@ -37,10 +42,9 @@ from tarmac.llm.common import small_batches, table
 from tarmac.llm.url_filter import host_and_path
 from tarmac.session import stored
 
-#: On hosts with fewer pages, words are template only in blocks that hold nothing else.
+#: Pages that must bear out a constant block in an element named as content.
 LEAST_PAGES = 8
-#: Template words in a row that are template even in an element named as content; words that make
-#: a class without a tag.
+#: Words that make a class without a tag, and a constant block without a word of a tag's class.
 LEAST_WORDS = 3
 #: A token belongs to a template if this part of the pages has it.
 LEAST_SHARE = 0.5
@@ -61,9 +65,10 @@ ALL_HOSTS = ""
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var".split()
+    "small span strike strong sub sup time tt u var "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover".split()
 )
-RAW = frozenset("script style textarea noscript template iframe svg math title select button".split())
+RAW = frozenset("script style textarea noscript template iframe svg title select button".split())
 #: Sibling elements that end an open element of the kind named.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -86,11 +91,18 @@ CONTENT_WORDS = re.compile(
     r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])", re.IGNORECASE
 )
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
-    re.DOTALL,
+#: Of these words, the ones that say nothing about a heading or paragraph of an article.
+PLACE_WORDS = re.compile(r"(?:^|[\s_-])(?:header|masthead|side|aside|banner)(?:$|[\s_-])", re.IGNORECASE)
+#: Names of an article element that make it no main text.
+OTHER_ARTICLES = re.compile(
+    r"(?:^|\s)(?:teaser|related|recommended|promo|promoted|sponsored|advert|advertisement|comment|reply)(?:$|\s)",
+    re.IGNORECASE,
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(
     r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE
 )
@@ -123,6 +135,33 @@ def _kind(name: str) -> str:
     return element[0] if element[0] in CONTENT else "content" if _is_content(element) else ""
 
 
+def tags_of(page: str, at: int = 0) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" or "", name, attributes) of tags from `at` on; what is skipped has no name.
+
+    One pass: each character is looked at a bounded number of times.
+    """
+    last = {quote: page.rfind(quote) for quote in "\"'"}
+    while (start := page.find("<", at)) >= 0:
+        if found := _COMMENT.match(page, start):
+            at = found.end()
+            yield start, at, "", "", ""
+            continue
+        found = _OPEN.match(page, start)
+        if not found:
+            at = start + 1
+            continue
+        end = found.end()
+        while (stop := _STOP.search(page, end)) and stop[0] != ">":
+            end = stop.end()
+            if end <= last[stop[0]]:
+                end = page.index(stop[0], end) + 1
+        at = stop.end() if stop else len(page)
+        if stop:
+            yield start, at, found[1], found[2].lower(), page[found.end() : stop.start()]
+        else:
+            yield start, at, "", "", ""
+
+
 def walk(page: str) -> Iterator[tuple[str, str]]:
     """("tag", path), ("text", raw text) and ("break", "") of a page in order.
 
@@ -130,33 +169,39 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
     items and cells with the next one. Inline elements are part of the text around them.
     Comments, declarations and the inside of raw elements are skipped.
     """
-    names: list[str] = []
     tags: list[str] = []
+    there: Counter = Counter()  # open elements by tag
     paths = [""]
     # The path that an element's children extend, and the kinds of the deep elements on it.
     bases: list[tuple[str, frozenset[str]]] = [("", frozenset())]
     at = 0
 
     def pop(to: int) -> None:
-        del names[to:], tags[to:], paths[to + 1 :], bases[to + 1 :]
+        there.subtract(tags[to:])
+        del tags[to:], paths[to + 1 :], bases[to + 1 :]
 
+    def pop_last(tag: str) -> None:
+        to = len(tags) - 1
+        while tags[to] != tag:
+            to -= 1
+        pop(to)
+
+    found = tags_of(page)
     while True:
-        found = _TAG.search(page, at)
-        text = page[at : found.start() if found else len(page)]
-        if text:
-            yield "text", text
-        if not found:
+        start, end, closing, tag, attributes = next(found, (len(page), len(page), "", None, ""))
+        if start > at:
+            yield "text", page[at:start]
+        if tag is None:
             return
-        at = found.end()
-        if not found[2]:
+        at = end
+        if not tag:
             continue
-        tag = found[2].lower()
-        if found[1]:
+        if closing:
             if tag in INLINE or tag in VOID:
                 continue
             yield "break", paths[-1]
-            if tag in tags:
-                pop(len(tags) - 1 - tags[::-1].index(tag))
+            if there[tag]:
+                pop_last(tag)
             yield "break", paths[-1]
             continue
         if tag in VOID:
@@ -165,14 +210,15 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
         if tag in INLINE:
             continue
         yield "break", paths[-1]
-        if "p" in tags:
-            pop(len(tags) - 1 - tags[::-1].index("p"))
-        for depth in range(len(tags) - 1, -1, -1):
-            if tags[depth] in CLOSES.get(tag, ()):
+        if there["p"]:
+            pop_last("p")
+        ends = CLOSES.get(tag, frozenset())
+        for depth in range(len(tags) - 1, -1, -1) if any(there[other] for other in ends) else ():
+            if tags[depth] in ends:
                 pop(depth)
             elif tags[depth] in SCOPES:
                 break
-        name = _name(tag, found[3])
+        name = _name(tag, attributes)
         base, kinds = bases[-1]
         path = f"{base}/{name}"
         if len(tags) < MOST_DEPTH:
@@ -184,10 +230,12 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
                 base, kinds = path, kinds | {kind}
         yield "tag", path
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+            ending = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
+            at = ending.end() if ending else len(page)
+            found = tags_of(page, at)
             continue
-        names.append(name), tags.append(tag), paths.append(path), bases.append((base, kinds))
+        tags.append(tag), paths.append(path), bases.append((base, kinds))
+        there[tag] += 1
         yield "break", path
 
 
@@ -230,18 +278,39 @@ def _elements(path: str) -> list[tuple[str, str]]:
     return out
 
 
+def _is_other(tag: str, words: str, within: bool) -> bool:
+    """Whether an element is named as other than main text; `within` an article or main element."""
+    if tag in ("html", "body"):
+        return False
+    if tag in CONTENT:
+        return bool(OTHER_ARTICLES.search(words))
+    if tag in HEADINGS or tag == "p":
+        words = PLACE_WORDS.sub(" ", words)
+    if tag in BOILERPLATE_TAGS:
+        return not (within and tag == "header")
+    return bool(BOILERPLATE_WORDS.search(words))
+
+
 def is_boilerplate(path: str) -> bool:
     """Whether an element on the path is named as other than main text."""
-    return any(
-        tag in BOILERPLATE_TAGS or (tag not in ("html", "body", *CONTENT) and BOILERPLATE_WORDS.search(words))
-        for tag, words in _elements(path)
-    )
+    within = False
+    for tag, words in _elements(path):
+        if _is_other(tag, words, within):
+            return True
+        within = within or tag in CONTENT
+    return False
 
 
 def _is_content(name: tuple[str, str]) -> bool:
     return name[0] in CONTENT or bool(CONTENT_WORDS.search(name[1]))
 
 
+def _above(path: str) -> Iterator[str]:
+    """The paths of the elements around an element."""
+    while path := path.rpartition("/")[0]:
+        yield path
+
+
 def _is_named(root: str) -> bool:
     """Whether a content element was found by its name."""
     last = _elements(root)[-1:]
@@ -256,20 +325,26 @@ def content_of(tokens: list[tuple[str, float]]) -> list[str]:
     the deepest element that holds at least half of the text outside of boilerplate.
     """
     clean = sorted((p, n) for p, n in tokens if not is_boilerplate(p))
+    lasts = {p: _elements(f"/{p.rpartition('/')[2]}")[0] if p else ("", "") for p, _ in clean}
     for wanted in (
         lambda e: e[0] == "article",
         lambda e: e[0] == "main",
         lambda e: _is_content(e) and e[0] not in ("html", "body"),
     ):
-        hits = [p for p, _ in clean if wanted(_elements(p)[-1])]
-        outer = [p for p in hits if not any(p.startswith(f"{q}/") for q in hits)]
+        hits = [p for p in lasts if wanted(lasts[p])]
+        own = set(hits)
+        outer = [p for p in hits if own.isdisjoint(_above(p))]
         if outer:
             return outer
     total = sum(n for _, n in clean)
     best = ""
+    sums: dict[str, float] = {}
+    for path, n in clean:
+        for p in (path, *_above(path)):
+            sums[p] = sums.get(p, 0.0) + n
     for path, _ in clean:
-        held = sum(n for p, n in clean if p == path or p.startswith(f"{path}/"))
-        if held * 2 >= total and held > 0 and len(path) > len(best) and _elements(path)[-1][0] not in ("p", "h1", "h2", "li"):
+        held = sums[path]
+        if held * 2 >= total and held > 0 and len(path) > len(best) and lasts[path][0] not in ("p", "h1", "h2", "li"):
             best = path
     return [best]
 
@@ -434,8 +509,8 @@ def contents(found: DataFrame) -> DataFrame:
     """(host, roots, classes, words, runs, whole): the content elements of each template, and its classes.
 
     `classes` lists the template's classes as path lists. `words` are the template words whose class
-    holds a tag of the template, `runs` those that are template in runs only; on hosts with few
-    pages all are in `runs` and `whole` says that their runs are of whole blocks.
+    holds a tag of the template, `runs` those of classes of LEAST_WORDS and more. `whole` says that the
+    elements named as content stay whole.
     """
 
     def nest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -464,8 +539,6 @@ def contents(found: DataFrame) -> DataFrame:
                 words = [t for v, group in texts.items() if v in tags for t in group]
                 runs = [t for v, group in texts.items() if v not in tags and len(group) >= LEAST_WORDS for t in group]
                 whole = bool(pages < LEAST_PAGES)
-                if whole:
-                    words, runs = [], words + runs
                 fixed: dict[int, float] = {}
                 for t in words:
                     fixed[t["near"]] = fixed.get(t["near"], 0.0) + float(t["chars"])
@@ -491,33 +564,25 @@ def _cut(held: list[tuple[str, list[str]]], roots: list[str], words: frozenset[i
         for word in block:
             if word not in tokens:
                 tokens[word] = _word_token(path, word)
-        marks.append([2 if tokens[w] in words else int(tokens[w] in runs) for w in block])
-    # Runs of template words: within a block, or over blocks that hold nothing else.
-    lengths, whole = [], 0
-    for own in marks:
-        whole = whole + len(own) if all(own) else 0
-        lengths.append(whole)
-    for i in range(len(lengths) - 2, -1, -1):
-        if lengths[i] and lengths[i + 1]:
-            lengths[i] = lengths[i + 1]
-    left, named, named_left = [], 0, 0
+        own = [2 if tokens[w] in words else int(tokens[w] in runs) for w in block]
+        marks.append((len(own), max(own)) if all(own) else None)
     roots = [r for r in roots if _is_named(r)]
-    for (path, block), own, length in zip(held, marks, lengths):
-        is_named = any(path == r or path.startswith(f"{r}/") for r in roots)
-        out, at = [], 0
-        while at < len(own):
-            to = at
-            while to < len(own) and bool(own[to]) == bool(own[at]):
-                to += 1
-            if not own[at]:
-                out += block[at:to]
-            elif whole_only and is_named or max(0 if whole_only else to - at, length) < LEAST_WORDS:
-                out += [w for w, m in zip(block[at:to], own[at:to]) if is_named or m < 2]
-            at = to
-        left.append(out)
-        if is_named:
-            named += len(block)
-            named_left += len(out)
+    left, named, named_left = [], 0, 0
+    at = 0
+    while at < len(held):
+        to = at + 1
+        while marks[at] and to < len(held) and marks[to]:
+            to += 1
+        # Constant blocks next to each other are template together.
+        long = marks[at] and sum(n for n, _ in marks[at:to]) >= LEAST_WORDS
+        goes = long or marks[at] and max(m for _, m in marks[at:to]) == 2
+        for path, block in held[at:to]:
+            is_named = any(path == r or path.startswith(f"{r}/") for r in roots)
+            left.append([] if (long and not whole_only if is_named else goes) else block)
+            if is_named:
+                named += len(block)
+                named_left += len(left[-1])
+        at = to
     if not any(left) or named_left * 2 < named:
         return [block for _, block in held]
     return left

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -278,7 +279,11 @@ def test_constant_text_of_a_host_is_template(spark):
         ("<div class='c7'>Inicio Noticias Contacto</div><div class='publicidad'><p>Compre ya<p>hoy</div>"
          "<div class='c9'>{t}</div><div class='c8'>Aviso</div>", "{t}"),
         ("<article><p>{t}</p><p>All rights on this page are held by us and by you</p><div class='c7'><li>Home<li>News<li>Sport</div></article>", "{t}"),
-        ("<div class='c9'><p>Posted by {a} on {b}<p>{t}</div>", "{a} {b}\n\n{t}"),
+        ("<div class='c9'><p>Posted by {a} on {b}<p>{t}</div>", "Posted by {a} on {b}\n\n{t}"),
+        ("<div class='c9'><p>The mayor of Paris said on day {a} that the Rome line opens.<p>It costs {b} euros. {t}</div><div class='c3'><p>Alle Rechte</div>",
+         "The mayor of Paris said on day {a} that the Rome line opens.\n\nIt costs {b} euros. {t}"),
+        ("<article><header><h1>About {a}</h1></header><h2 class='entry-header'>More on {b}</h2><p class='side'>An area of <math><mi>x</mi><mo>=</mo><mn>2</mn></math> in {t}</article>"
+         "<article class='teaser'><p>Read {b}</article>", "About {a}\n\nMore on {b}\n\nAn area of x=2 in {t}"),
     ]
     rows, want = [], {}
     for k, (form, text) in enumerate(forms):
@@ -294,6 +299,18 @@ def test_constant_text_of_a_host_is_template(spark):
     assert got == want
 
 
+def test_odd_markup_takes_linear_time():
+    """A megabyte of open tags, quotes, nested or different elements: well under the old hours."""
+    size = 1 << 20
+    pages = ["<a " * (size // 3), "<a title=\"" * (size // 10), "<p>x" + "<div>" * (size // 50), "<!--" * (size // 4), "<i x='" * (size // 7) + ">"]
+    pages.append("".join(f"<div class='k{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}{chr(97 + n // 676)}'>t</div>" for n in range(9000)))
+    for page in pages:
+        start = time.time()
+        template.main_text(page, [])
+        assert time.time() - start < 5
+    assert template.main_text("<p>one <b title='x>two</b> <p>three <a href=x", []) == "one two\n\nthree"
+
+
 def test_hosts_with_few_pages_have_their_own_template(spark):
     page = "<html><body><p>Read our terms of use<div class='x'><div class='post-content'><p>{t}</p><p>Text of page {n} and more</div></div></body></html>"
     rows = [(n, f"http://few.org/{n}", page.format(n=n, t=slots(n))) for n in range(2)]
