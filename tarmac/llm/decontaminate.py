@@ -8,7 +8,8 @@ missed. What they find is verified by the weighted similarity of the shingles th
 of the smaller weights over that of the larger ones, SIMILARITY or more.
 
 A window that shares no shingle with an item has similarity 0, so only windows around shared
-shingles are fingerprinted; that leaves out nothing.
+shingles are fingerprinted; that leaves out nothing. An item of fewer than five words is one shingle
+of its own length, and is found where its words stand in a row.
 
 Documents are read once and never shuffled. Items go to the tasks in blocks of at most
 BLOCK_ITEMS; a larger benchmark takes as many passes in a row over the documents' batches.
@@ -91,12 +92,15 @@ class _Item:
 
 
 class ItemSet:
-    """Items with a window size each; those of fewer than five words have no shingle and are left out."""
+    """Items with a window size each, and short ones as single shingles; without a word there is no item."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[int | None, str | None]]):
         self.items: list[_Item] = []
+        self.short: dict[int, list[tuple[np.uint64, int | None]]] = {}
         for (item_id, _), words in zip(rows, word_hashes([t for _, t in rows])):
-            if len(words) >= SHINGLE_WORDS:
+            if 0 < len(words) < SHINGLE_WORDS:
+                self.short.setdefault(len(words), []).append((shingles(words)[0], item_id))
+            elif len(words):
                 own = shingles(words)
                 self.items.append(_Item(item_id, len(words), *np.unique(own, return_counts=True), fingerprint(own)))
         flat = np.concatenate([i.hashes for i in self.items] or [np.empty(0, np.uint64)])
@@ -123,6 +127,21 @@ class ItemSet:
 
     def search(self, words: np.ndarray, least: float = SIMILARITY) -> list[tuple[int, float, int, int]]:
         """(item id, similarity, first word, last word + 1) of each item found, its best window."""
+        return self._short(words) + self._long(words, least)
+
+    def _short(self, words: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """Short items in the words, each where it comes first."""
+        out = []
+        for n, items in self.short.items():
+            if len(words) >= n:
+                runs, first = np.unique(shingles(words, n), return_index=True)
+                for own, item_id in items:
+                    at = np.searchsorted(runs, own)
+                    if at < len(runs) and runs[at] == own:
+                        out.append((item_id, 1.0, int(first[at]), int(first[at]) + n))
+        return out
+
+    def _long(self, words: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
         if len(words) < SHINGLE_WORDS or not self.items:
             return []
         own = shingles(words)
@@ -185,10 +204,10 @@ _FOUND_ARROW = pa.list_(pa.struct([
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """The items in blocks of bounded size, by a hash of their ids; null ids and texts are left out."""
+    """The items in blocks of bounded size, by a hash of their ids; null texts are left out."""
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).where("item_id is not null and text is not null")
+    ).where("text is not null")
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = int(max(1, -(-n // (BLOCK_ITEMS // 2)), -(-chars // (BLOCK_CHARS // 2))))
     for block in range(blocks):
@@ -199,8 +218,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """Rows of `docs` as a struct `row`, with `found`: the items (FOUND) that the text holds.
 
-    Null, empty and short texts hold none; an empty benchmark is found nowhere. Items that occur
-    more than once in the benchmark are found each time. All rows stay.
+    Null and empty texts hold none; an empty benchmark is found nowhere. Items that occur more than
+    once in the benchmark are found each time, items with a null id under a null id. All rows stay.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(

@@ -206,6 +206,23 @@ def test_windows_against_brute_force():
         assert got == brute_items(items, words)
 
 
+def test_short_items_against_brute_force():
+    rng = random.Random(9)
+    vocabulary = "a b c d e f".split()
+    bench = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(1, 5)))) for i in range(30)] + [(None, "A, b!"), (40, " ! "), (41, None)]
+    items = decontaminate.ItemSet(bench)
+    for _ in range(200):
+        text = rng.choices(vocabulary, k=rng.randrange(0, 9))
+        want = []
+        for i, t in bench:
+            own = re.findall("[a-z]", (t or "").lower())
+            at = [k for k in range(len(text) - len(own) + 1) if text[k : k + len(own)] == own]
+            if own and at:
+                want.append((i, 1.0, at[0], at[0] + len(own)))
+        got = items.search(word_hashes([" ".join(text)])[0])
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_hamming_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(3)
     prints = rng.integers(0, 256, (300, 8), dtype=np.uint8)
@@ -217,11 +234,11 @@ def test_hamming_blocks_find_all_within_the_radius():
 
 def test_decontamination_on_spark(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 4)  # several passes
-    bench = spark.createDataFrame([(i, prose(i, 20)) for i in range(9)] + [(None, prose(1, 20)), (50, None)], "item_id long, text string")
+    bench = spark.createDataFrame([(i, prose(i, 20)) for i in range(9)] + [(None, prose(70, 20)), (50, None), (51, "zebra crossing")], "item_id long, text string")
     clean = prose(77, 50)
-    rows = [(1, clean), (2, f"{clean} {prose(3, 20).upper()} {clean}"), (3, None), (4, ""), (5, prose(4, 20)), (5, prose(4, 20)), (6, prose(5, 8))]
+    rows = [(1, clean), (2, f"{clean} {prose(3, 20).upper()} {clean}"), (3, None), (4, ""), (5, prose(4, 20)), (5, prose(4, 20)), (6, prose(5, 8)), (7, prose(70, 20)), (8, "A Zebra crossing"), (9, "crossing zebra")]
     got = decontaminate.search(documents(spark, rows), bench).select("row.doc_id", "found.item_id").collect()
-    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, []), (2, [3]), (3, []), (4, []), (5, [4]), (5, [4]), (6, [])]
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, []), (2, [3]), (3, []), (4, []), (5, [4]), (5, [4]), (6, []), (7, [None]), (8, [51]), (9, [])]
     nothing = bench.where("false")
     assert decontaminate.search(documents(spark, rows), nothing).where(F.size("found") > 0).count() == 0
     assert decontaminate.search(documents(spark, []), bench).count() == 0
