@@ -11,9 +11,9 @@ from tarmac.functions.numbers import two_decimals
 from tarmac.operators.airports import preagg_report, rank_airports, ranking_report
 from tarmac.operators.carriers import carrier_text
 from tarmac.plans.airports import airport_reports
-from tarmac.plans.postprocess import report_from_preagg
+from tarmac.plans.postprocess import reports_from_preagg
 from tarmac.plans.prepare import prepare_events
-from tarmac.session import ship_package
+from tarmac.session import settle, ship_package
 from tarmac.settings import DEFAULTS, WINDOWS_MS, Settings
 from tarmac.sinks.files import ranking_text, write_event_table, write_events, write_ranking, write_rankings
 from tarmac.sources.files import (
@@ -128,22 +128,25 @@ def postprocess(
     spark: SparkSession, preagg_root: str, events: str, output_root: str,
     settings: Settings = DEFAULTS,
 ) -> list[str]:
-    """Pre-aggregates and the event file -> the airport reports. Returns the reports written;
-    a window size without pre-aggregates has none."""
-    flights = read_flights_tolerant(spark, events)
-    written = []
+    """Pre-aggregates and the event file -> the airport reports, from one pass over the events.
+
+    Returns the reports written; a window size without pre-aggregates has none.
+    """
+    sources = {}
     for name, folder, whole in (
         ("q2_1h_final", "q2_1h", False),
         ("q2_6h_final", "q2_6h", False),
         ("q2_global_final", "q2_1h", True),
     ):
         stored = _stored_preagg(spark, f"{preagg_root}/{folder}")
-        if stored is None:
-            continue
-        report = report_from_preagg(stored, flights, whole, settings)
-        write_ranking(report, f"{output_root}/{name}")
-        written.append(name)
-    return written
+        if stored is not None:
+            sources[name] = stored, whole, settings
+    if sources:
+        # The reports are short: at most `top_k` rows for each window.
+        reports = settle(reports_from_preagg(sources, read_flights_tolerant(spark, events), settings))
+        for name in sources:
+            write_ranking(reports.where(F.col("report") == name).drop("report"), f"{output_root}/{name}")
+    return list(sources)
 
 
 def _stored_preagg(spark: SparkSession, path: str) -> DataFrame | None:

@@ -292,7 +292,8 @@ in_time AS (
 )""",
 )
 
-TOP20 = f"""WITH {FLIGHTS}, {airports("120d")}, {worst(source="airports")}
+def top20(size: str) -> str:
+    return f"""WITH {FLIGHTS}, {airports(size)}, {worst(source="airports")}
 SELECT {stamp("ws")} AS window_start, {stamp("we")} AS window_end, origin AS airport_id,
   place, carrier, dest, dep_delay
 FROM worst"""
@@ -330,6 +331,9 @@ SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
     "q2_global_from_preagg": GLOBAL_FROM_PREAGG,
     "q2_post_report_6h": post_report("6h"),
     "q2_post_report_global": post_report("global"),
+    "q2_post_reports_all": " UNION ALL ".join(
+        f"SELECT *, '{size}' AS report FROM ({post_report(size)})" for size in SIZES
+    ),
     "q2_interval_join_winners": INTERVAL_JOIN,
     "prep_event_time": EVENT_TIME,
     "prep_union_sorted": UNION_SORTED,
@@ -358,7 +362,7 @@ SELECT * REPLACE ({text2("dep_delay_mean")} AS dep_delay_mean,
     "stream_q1_late": LATE,
     **{f"stream_q2_preagg_{size}": preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": top_airports("6h"),
-    "stream_q2_top20_120d": TOP20,
+    **{f"stream_q2_top20_{size}": top20(size) for size in WINDOWS_MS},
     "stream_preagg_all_sizes": " UNION ALL ".join(
         f"SELECT *, '{size}' AS span FROM ({preagg(size)})" for size in WINDOWS_MS
     ),

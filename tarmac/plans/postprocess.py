@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +45,29 @@ def report_from_preagg(
     )
 
 
+def reports_from_preagg(
+    sources: dict[str, tuple[DataFrame, bool, Settings]], flights: DataFrame,
+    settings: Settings = DEFAULTS, ties: str = "key_desc",
+) -> DataFrame:
+    """Several reports, told apart by `report`, whose lists come from one pass over the events.
+
+    `sources` has for each its pre-aggregates, whether they are rolled up to the span of all windows,
+    and the settings of its ranking.
+    """
+    ranked = functools.reduce(DataFrame.unionByName, [
+        ranking_from_preagg(preagg, whole, own).withColumn("report", F.lit(name))
+        for name, (preagg, whole, own) in sources.items()
+    ])
+    return fill_lists(settle(ranked), flights, settings, ties, ("report",))
+
+
 def fill_lists(
-    ranked: DataFrame, flights: DataFrame, settings: Settings = DEFAULTS, ties: str = "key_desc"
+    ranked: DataFrame, flights: DataFrame, settings: Settings = DEFAULTS, ties: str = "key_desc",
+    more: tuple[str, ...] = (),
 ) -> DataFrame:
-    worst = worst_flights(flights_in_windows(flights, ranked, settings), settings, ties)
-    filled = attach_lists(ranked, delayed_lists(worst), KEYS)
-    return ranking_report(filled, bracketed(F.col("delayed")).alias("delayed_flights"))
+    """The ranked rows with their lists; `more` names columns that tell windows apart besides KEYS."""
+    keys = (*more, *KEYS)
+    found = interval_join(severe_flights(flights, settings), ranked.select(*keys), key="origin")
+    worst = worst_flights(found, settings, ties, keys)
+    filled = attach_lists(ranked, delayed_lists(worst, keys), keys)
+    return ranking_report(filled, bracketed(F.col("delayed")).alias("delayed_flights"), *map(F.col, more))

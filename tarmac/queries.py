@@ -34,7 +34,12 @@ from tarmac.plans.airports import (
     airport_reports,
     delayed_flights,
 )
-from tarmac.plans.postprocess import flights_in_windows, ranking_from_preagg, report_from_preagg
+from tarmac.plans.postprocess import (
+    flights_in_windows,
+    ranking_from_preagg,
+    report_from_preagg,
+    reports_from_preagg,
+)
 from tarmac.plans.prepare import prepare_events, with_event_time
 from tarmac.schema import EVENTS, MONTHLY
 from tarmac.session import scratch, settle
@@ -175,6 +180,15 @@ def post_report(size: str):
     return run
 
 
+def post_reports_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All reports from pre-aggregates, their lists from one pass over the events."""
+    sources = {
+        size: (stored_preagg(spark, folder, "1h" if size == "global" else size), size == "global", settings_for(size))
+        for size in STEPS
+    }
+    return ranking_text(reports_from_preagg(sources, table_flights(spark, folder)))
+
+
 def interval_join_winners(spark: SparkSession, folder: str) -> DataFrame:
     """Winners of all three window sizes in one pass: a flight may fall in several windows."""
     flights = table_flights(spark, folder)
@@ -391,15 +405,18 @@ def stream_q2_top_airports_6h(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stream_q2_top20_120d(spark: SparkSession, folder: str) -> DataFrame:
-    replayed = Replayed(spark, "worst").write(folder)
-    worst = worst_flights_stream(replayed.stream(), WINDOWS_MS["120d"])
-    return replayed.per_batch(worst, merge_candidates).select(
-        stamp(F.col("ws")).alias("window_start"),
-        stamp(F.col("we")).alias("window_end"),
-        F.col("origin").alias("airport_id"),
-        "place", "carrier", "dest", "dep_delay",
-    )
+def stream_top20(size: str):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        replayed = Replayed(spark, f"worst-{size}").write(folder)
+        worst = worst_flights_stream(replayed.stream(), WINDOWS_MS[size])
+        return replayed.per_batch(worst, merge_candidates).select(
+            stamp(F.col("ws")).alias("window_start"),
+            stamp(F.col("we")).alias("window_end"),
+            F.col("origin").alias("airport_id"),
+            "place", "carrier", "dest", "dep_delay",
+        )
+
+    return run
 
 
 def _all_sizes(spark: SparkSession, folder: str, label: str, stream) -> DataFrame:
@@ -466,6 +483,7 @@ QUERIES = {
     "q2_global_from_preagg": global_from_preagg,
     "q2_post_report_6h": post_report("6h"),
     "q2_post_report_global": post_report("global"),
+    "q2_post_reports_all": post_reports_all,
     "q2_interval_join_winners": interval_join_winners,
     "prep_event_time": prep_event_time,
     "prep_union_sorted": prep_union_sorted,
@@ -485,7 +503,7 @@ QUERIES = {
     "stream_q1_resumed": stream_q1_resumed,
     **{f"stream_q2_preagg_{size}": stream_preagg(size) for size in WINDOWS_MS},
     "stream_q2_top_airports_6h": stream_q2_top_airports_6h,
-    "stream_q2_top20_120d": stream_q2_top20_120d,
+    **{f"stream_q2_top20_{size}": stream_top20(size) for size in WINDOWS_MS},
     "stream_preagg_all_sizes": stream_preagg_all_sizes,
     "stream_preagg_lists_all_sizes": stream_preagg_lists_all_sizes,
     "stream_q2_preagg_top20_6h": stream_q2_preagg_top20_6h,

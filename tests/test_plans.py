@@ -9,7 +9,8 @@ from tarmac.operators import ordering
 from tarmac.operators.airports import airport_stats, rank_airports, stats_for_spans, with_bounds
 from tarmac.operators.carriers import hourly_carrier_stats
 from tarmac.operators.flights import flown
-from tarmac.plans.airports import airport_report, airport_reports, severe_flights
+from tarmac.plans.airports import airport_preagg, airport_report, airport_reports, severe_flights
+from tarmac.plans.postprocess import reports_from_preagg
 from tarmac.schema import EVENTS
 from tarmac.session import scratch, settle, stored
 from tarmac.settings import HOUR_MS, Settings
@@ -85,6 +86,14 @@ def test_event_order_takes_one_shuffle(spark, flights, monkeypatch):
     assert "Exchange" not in plan_of(result) and "Join" not in plan_of(result)
 
 
+def test_reports_from_preaggregates_read_the_events_once(spark, table):
+    settings = Settings(min_flights=2)
+    preaggs = {size: settle(airport_preagg(table, step)) for size, step in (("1h", HOUR_MS), ("6h", 6 * HOUR_MS))}
+    sources = {"1h": (preaggs["1h"], False, settings), "6h": (preaggs["6h"], False, settings), "all": (preaggs["1h"], True, settings)}
+    plan = plan_of(reports_from_preagg(sources, table, settings))
+    assert plan.count("Scan parquet") == 1
+
+
 def test_plain_event_files_are_read_without_a_job(spark, flights, tmp_path):
     path = str(tmp_path / "plain")
     events = table_monthly(flights)
