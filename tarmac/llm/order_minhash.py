@@ -11,13 +11,15 @@ hub. In small buckets, all pairs of different classes are compared. Members of l
 joined on what sets them apart from their hub (see by_differences): similar texts of which one is
 unlike the hub share differences, the rare ones suffice to find them, and no pair is lost.
 
-A pair is confirmed by aligning its words in a band of diagonals: matched runs of L >= 5 words share
-L - 4 shingles, and the shared ones over all must reach SIMILARITY. Classes are the connected
-components of the links.
+A pair is confirmed by an alignment in a band of diagonals. Its anchors are the longest chain of
+labelled shingles that both texts hold in the same order; between anchors the words are aligned with
+the fewest edits, where matched runs of L >= 5 words share L - 4 shingles. The shared ones over all
+must reach SIMILARITY. Classes are the connected components of the links.
 """
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -36,6 +38,11 @@ SKETCHES = 16
 KEPT = 3
 #: In buckets of up to this many members, members unlike the hub are compared pair by pair.
 SMALL_BUCKET = 24
+#: Cells, as a power of two, that count the tokens of a hub at most; more texts share a cell then.
+MOST_CELL_BITS = 18
+#: Cells that a task holds before it hands them on, and texts that are cut in one group.
+COUNTS_HELD = 1 << 25
+TEXTS_AT_ONCE = 1024
 
 #: Shingles in which two texts of SIMILARITY differ, over the shingles of both.
 _APART = (1 - SIMILARITY) / (1 + SIMILARITY)
@@ -95,6 +102,70 @@ def _digest(words: np.ndarray) -> tuple[int, int]:
 # Alignment.
 
 
+def anchors(x: np.ndarray, y: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places, in two lists without repeats, of the longest chain of common values in one order.
+
+    Only values at most `band` places apart take part.
+    """
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    near = np.abs(i - j) <= band
+    order = np.argsort(i[near])
+    i, j = i[near][order], j[near][order]
+    if not len(i):
+        return i, j
+    if (np.diff(j) > 0).all():
+        return i, j
+    # ends[n] is the smallest last place of a chain of n + 1 values, at[n] the value there.
+    ends: list[int] = []
+    at: list[int] = []
+    before = np.empty(len(j), np.int64)
+    for k, place in enumerate(j.tolist()):
+        n = bisect_left(ends, place)
+        before[k] = at[n - 1] if n else -1
+        ends[n : n + 1], at[n : n + 1] = [place], [k]
+    chain = []
+    k = at[-1]
+    while k >= 0:
+        chain.append(k)
+        k = before[k]
+    return i[chain[::-1]], j[chain[::-1]]
+
+
+def _within(x: np.ndarray, y: np.ndarray, band: int) -> int:
+    """How many of x are somewhere in y at most `band` places apart."""
+    _, own = np.unique(np.concatenate([x, y]), return_inverse=True)
+    apart = len(x) + len(y) + band + 1  # places of different values are never near
+    there = np.sort(own[len(x) :] * apart + np.arange(len(y)))
+    here = own[: len(x)] * apart + np.arange(len(x))
+    at = np.searchsorted(there, here)
+    left = here - there[np.maximum(at - 1, 0)]
+    right = there[np.minimum(at, len(there) - 1)] - here
+    return int(((np.abs(left) <= band) | (np.abs(right) <= band)).sum())
+
+
+def aligned_shingles(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, band: int, need: float = 0) -> int:
+    """Shingles shared by an alignment of the words `a` and `b`; x and y are their labelled shingles.
+
+    What lies between two neighbouring anchors is aligned by itself, if it has a shingle in common
+    within the band. 0 if `need` shingles are out of reach.
+    """
+    i, j = anchors(x, y, band)
+    total = len(i)
+    i, j = np.concatenate([[-1], i, [len(x)]]), np.concatenate([[-1], j, [len(y)]])
+    gaps, most = [], 0
+    # A gap's own shingles lie strictly between the anchors' ones.
+    for k in np.flatnonzero((np.diff(i) > 1) & (np.diff(j) > 1)):
+        one = a[i[k] + 1 : i[k + 1] + SHINGLE_WORDS - 1]
+        two = b[j[k] + 1 : j[k + 1] + SHINGLE_WORDS - 1]
+        own = band + abs(int(i[k] - j[k]))
+        if near := _within(shingles(one.astype(np.uint64)), shingles(two.astype(np.uint64)), own):
+            gaps.append((one, two))
+            most += near
+    if total + most < need:
+        return 0
+    return total + sum(shared_shingles(one, two, min(band, len(one) + len(two))) for one, two in gaps)
+
+
 def shared_shingles(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Shingles on the matched runs of an alignment with the fewest edits, if `band` edits do; else 0.
 
@@ -175,12 +246,13 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     x, y = shingles(a.astype(np.uint64)), shingles(b.astype(np.uint64))
     n = len(x) + len(y)
     # No alignment shares more shingles than the texts have in common in any order.
-    most = len(np.intersect1d(labelled(x), labelled(y), assume_unique=True))
+    x, y = labelled(x), labelled(y)
+    most = len(np.intersect1d(x, y, assume_unique=True))
     if most < least * (n - most):
         return 0.0
     # Every edit costs a shingle of the one or the other text at least.
     band = int(n - 2 * least / (1 + least) * n) + 1
-    shared = shared_shingles(a, b, band)
+    shared = aligned_shingles(a, b, x, y, band, least / (1 + least) * n - 1e-9)
     return shared / (n - shared)
 
 
@@ -282,6 +354,110 @@ def differences(x: np.ndarray, hub: np.ndarray) -> np.ndarray:
     ])
 
 
+def _counted(batches: Iterator[pa.RecordBatch], values) -> Iterator[pa.RecordBatch]:
+    """(hub, part, counts) from batches of (hub, part, ..): counts added up by hub, COUNTS_HELD at most.
+
+    Counts end at 255 and go on packed, since most cells of a task are empty.
+    """
+    held: dict[tuple[int, int], np.ndarray] = {}
+    size = 0
+
+    def made() -> pa.RecordBatch:
+        keys = list(zip(*held))
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(k, pa.int64()) for k in keys), pa.array([zlib.compress(c, 1) for c in held.values()], pa.binary())],
+            names=["hub", "part", "counts"],
+        )
+
+    for batch in batches:
+        for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hub", "part")))):
+            cells, at, counts = values(batch, i)
+            if key not in held:
+                if size + cells > COUNTS_HELD and held:
+                    yield made()
+                    held.clear()
+                    size = 0
+                held[key] = np.zeros(cells, np.uint8)
+                size += cells
+            own = held[key]
+            own[at] = np.minimum(own[at].astype(np.int64) + counts, 255)
+    if held:
+        yield made()
+
+
+def token_counts(told: DataFrame) -> DataFrame:
+    """Stored (hub, counts): for each hub, how many texts have a token of each of its cells.
+
+    `told` has hub, cells and tokens. A token's cell follows from its number, so a cell counts a text
+    too many at times, never one too few. Tasks add up their own counts; the counts of a hub meet in
+    two steps.
+    """
+    def of_tokens(batch: pa.RecordBatch, i: int):
+        cells = batch.column("cells")[i].as_py()
+        tokens = batch.column("tokens")[i].values.to_numpy(zero_copy_only=False)
+        return cells, *np.unique(tokens & (cells - 1), return_counts=True)
+
+    def of_counts(batch: pa.RecordBatch, i: int):
+        counts = np.frombuffer(zlib.decompress(batch.column("counts")[i].as_py()), np.uint8)
+        return len(counts), slice(None), counts
+
+    kind = "hub long, part long, counts binary"
+    part = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(32))
+    counts = told.select("hub", F.lit(0).cast("long").alias("part"), "cells", "tokens").mapInArrow(
+        lambda batches: _counted(batches, of_tokens), kind
+    )
+    for key in (part, F.lit(0)):
+        counts = (
+            counts.withColumn("part", key.cast("long")).repartition("hub", "part").sortWithinPartitions("hub", "part")
+            .mapInArrow(lambda batches: _counted(batches, of_counts), kind)
+        )
+    # What was added up in more than one go, if a task's counts were many, is added up at the end.
+    return stored(counts.select("hub", "counts"), "token-counts")
+
+
+def rarest(told: DataFrame) -> DataFrame:
+    """(hub, token, uid, label, n, d, rest): the rare tokens that suffice, see by_differences.
+
+    Tokens are ordered by the counts of their hub's cells, then by number, the same for all texts of
+    a hub; tokens of one text alone are left out. A text's whole list stays within its row.
+    """
+    sizes = stored(
+        told.groupBy("hub").agg(F.sum("d").alias("total"), F.count("*").alias("texts")), "sizes"
+    ).withColumn("cells", F.lit(1).cast("long"))
+    bits = F.least(F.greatest(F.ceil(F.log2(F.greatest("total", F.lit(1)) * 4.0)), F.lit(6)), F.lit(MOST_CELL_BITS))
+    sizes = sizes.withColumn("cells", F.pow(F.lit(2), bits).cast("long")).withColumn(
+        "parts", F.ceil(F.col("texts") / TEXTS_AT_ONCE).cast("int")
+    )
+    dealt = told.join(sizes.select("hub", "cells", "parts"), "hub")
+    counts = token_counts(dealt)
+    spread = sizes.join(counts, "hub").select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "counts"
+    )
+
+    def cut(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        many = np.sum(
+            [np.frombuffer(zlib.decompress(c.as_py()), np.uint8) for c in counts.column("counts")], axis=0, dtype=np.int64
+        )
+        rows, tokens, rests = [], [], []
+        for i, (own, least) in enumerate(zip(texts.column("tokens"), texts.column("least").to_pylist())):
+            own = own.values.to_numpy(zero_copy_only=False)
+            often = many[own & (len(many) - 1)]
+            own, often = own[often > 1], often[often > 1]  # what is left may be shared
+            own = own[np.lexsort((own, often))][: max(0, len(own) - least + 1)]
+            rows.append(np.full(len(own), i))
+            tokens.append(own)
+            rests.append(len(often) - 1 - np.arange(len(own)))
+        kept = texts.select(["hub", "uid", "label", "n", "d"]).take(pa.array(np.concatenate(rows).astype(np.int64)))
+        for name, parts in (("token", tokens), ("rest", rests)):
+            kept = kept.append_column(name, pa.array(np.concatenate(parts).astype(np.int64)))
+        return kept.select(["hub", "token", "uid", "label", "n", "d", "rest"])
+
+    parted = dealt.withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
+    return parted.select("hub", "part", "uid", "label", "n", "d", "least", "tokens").groupBy("hub", "part").cogroup(
+        spread.groupBy("hub", "part")
+    ).applyInArrow(cut, "hub long, token long, uid long, label long, n int, d int, rest long")
+
+
 def by_differences(members: DataFrame, words: DataFrame) -> DataFrame:
     """Pairs (a, b) of different labels with one hub that may be similar.
 
@@ -294,7 +470,7 @@ def by_differences(members: DataFrame, words: DataFrame) -> DataFrame:
     more whatever the other one is; for a text like the hub, 4 d / 9 with any text unlike it. A
     difference of one text alone is shared with none. Similarity here is that of sets, which bounds the
     aligned one. So of the others, rarest first, all but the
-    last few suffice to meet every partner, and places among them bound what can be shared.
+    last few suffice to meet every partner, and the `rest` behind a token bounds what can be shared.
     """
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,22 +505,17 @@ def by_differences(members: DataFrame, words: DataFrame) -> DataFrame:
         ),
         "differences",
     )
-    tokens = told.select("uid", "hub", "label", "n", "d", "least", F.explode("tokens").alias("token"))
-    counts = stored(
-        tokens.groupBy("hub", "token").agg(F.count("*").alias("texts")).where("texts > 1"), "counts"
-    )
-    of_text = Window.partitionBy("uid", "hub")
-    placed = (
-        tokens.join(counts, ["hub", "token"])
-        .withColumn("place", F.row_number().over(of_text.orderBy("texts", "token")))
-        .withColumn("rest", F.count("*").over(of_text) - F.col("place"))
-    )
-    first = stored(
-        placed.where(F.col("rest") + 1 >= F.col("least")).select("hub", "token", "uid", "label", "n", "d", "place", "rest"),
-        "rare",
+    first = stored(rarest(told), "rare")
+    # Only tokens of two labels can link anything.
+    mixed = stored(
+        first.groupBy("hub", "token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("hub", "token"),
+        "mixed-tokens",
     )
-    other = first.select("hub", "token", *[F.col(c).alias(f"{c}_2") for c in ("uid", "label", "n", "d", "place", "rest")])
-    bound = F.least("place", "place_2") + F.least("rest", "rest_2")
+    first = stored(first.join(mixed, ["hub", "token"], "left_semi"), "mixed-rare")
+    other = first.select("hub", "token", *[F.col(c).alias(f"{c}_2") for c in ("uid", "label", "n", "d", "rest")])
+    # A pair's first common token has all it shares at or behind it; later ones need not find it again.
+    bound = F.least("rest", "rest_2") + 1
     need = (F.col("d") + F.col("d_2") - (F.col("n") + F.col("n_2")) * _APART) / 2 - 1e-9
     shared = first.join(other, ["hub", "token"]).where("uid < uid_2 and label <> label_2").where(
         _fits("n", "n_2") & (bound >= need)
