@@ -101,6 +101,8 @@ OTHER_ARTICLES = re.compile(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+#: A tag without angle brackets in its attributes; a match ends before the next "<" or not at all.
+_PLAIN = re.compile(r"""<(/?)([a-zA-Z][^\s/<>"']*+)((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>""")
 _OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(
@@ -142,6 +144,10 @@ def tags_of(page: str, at: int = 0) -> Iterator[tuple[int, int, str, str, str]]:
     """
     last = {quote: page.rfind(quote) for quote in "\"'"}
     while (start := page.find("<", at)) >= 0:
+        if found := _PLAIN.match(page, start):
+            at = found.end()
+            yield start, at, found[1], found[2].lower(), found[3]
+            continue
         if found := _COMMENT.match(page, start):
             at = found.end()
             yield start, at, "", "", ""
@@ -177,7 +183,8 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
     at = 0
 
     def pop(to: int) -> None:
-        there.subtract(tags[to:])
+        for tag in tags[to:]:
+            there[tag] -= 1
         del tags[to:], paths[to + 1 :], bases[to + 1 :]
 
     def pop_last(tag: str) -> None:
@@ -212,12 +219,13 @@ def walk(page: str) -> Iterator[tuple[str, str]]:
         yield "break", paths[-1]
         if there["p"]:
             pop_last("p")
-        ends = CLOSES.get(tag, frozenset())
-        for depth in range(len(tags) - 1, -1, -1) if any(there[other] for other in ends) else ():
-            if tags[depth] in ends:
-                pop(depth)
-            elif tags[depth] in SCOPES:
-                break
+        ends = CLOSES.get(tag)
+        if ends and any(there[other] for other in ends):
+            for depth in range(len(tags) - 1, -1, -1):
+                if tags[depth] in ends:
+                    pop(depth)
+                elif tags[depth] in SCOPES:
+                    break
         name = _name(tag, attributes)
         base, kinds = bases[-1]
         path = f"{base}/{name}"
