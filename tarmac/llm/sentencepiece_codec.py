@@ -39,6 +39,8 @@ GROUP = 256
 #: Words whose pieces a worker remembers.
 KNOWN_WORDS = 400_000
 _KNOWN_PAIRS = 200_000
+#: Bytes of texts whose words are looked up together, and ids that are spelled together.
+_TOGETHER = 1 << 22
 
 SYNC = 0  # the state at a boundary that no piece spans
 
@@ -54,7 +56,8 @@ class Vocabulary:
     longest: int = 1
     #: For each id, whether it begins a piece or character: bytes inside of a character do not.
     begins: np.ndarray = field(default_factory=lambda: np.empty(0, bool))
-    words: dict[str, bytes] = field(default_factory=dict)
+    #: Ids of words met, by the words' UTF-8.
+    words: dict[bytes, bytes] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
 
     def __getstate__(self):
@@ -94,16 +97,37 @@ class Vocabulary:
             return self.numbers(self.merged(word))
         return self.numbers(_path(_follow(self, word, 0, None, len(word)), 0, len(word), word))
 
-    def word(self, word: str) -> bytes:
-        found = self.long_word(word)
-        if len(self.words) < KNOWN_WORDS and len(word) <= 64:
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        found = self.long_word(text)
+        if len(self.words) < KNOWN_WORDS and len(text) <= 64:
             self.words[word] = found
         return found
 
     def text(self, text: str) -> bytes:
         """Ids of a text that begins at a boundary and ends at one."""
+        return self._joined([text.encode()])[1].tobytes()
+
+    def texts(self, texts: list[str]) -> pa.Array:
+        """Lists of the ids of such texts."""
+        data = [t.encode() for t in texts]
+        found = [self._joined(data[a:b]) for a, b in _runs([len(d) for d in data])]
+        lists = [pa.ListArray.from_arrays(pa.array(b, pa.int32()), pa.array(ids, pa.int32())) for b, ids in found]
+        return pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+
+    def _joined(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each text begin and end, and the ids; each different word is looked up once."""
+        ends = np.cumsum([0, *map(len, texts)])
+        data = b"".join(texts)
+        starts = _word_starts(np.frombuffer(data, np.uint8), ends)
+        if not len(starts):
+            return np.zeros(len(ends), np.int64), np.empty(0, "<i4")
+        words = _binary(np.append(starts, len(data)), data).dictionary_encode()
         known, new = self.words.get, self.word
-        return b"".join([known(w) or new(w) for w in _words(text)])
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array([known(w) or new(w) for w in different], pa.large_binary()).take(words.indices)
+        places, values = _parts(ids)
+        return places[np.searchsorted(starts, ends)] // 4, np.frombuffer(values, "<i4")
 
     def fits(self, left: str | None, right: str) -> bool:
         """Whether two neighbours are the encoding of what they spell."""
@@ -118,8 +142,38 @@ class Vocabulary:
         return found
 
 
-#: Spaces with the word behind them, a line break, or the rest of a line without a space.
-_words = re.compile(r" +[^ \n]*|\n|[^ \n]+").findall
+def _runs(sizes: list[int]) -> list[tuple[int, int]]:
+    """Runs of rows, from first to end, each of about _TOGETHER in size or with a larger row in it."""
+    if not len(sizes):
+        return []
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // _TOGETHER)) + 1
+    edges = [0, *cuts.tolist(), len(sizes)]
+    return list(zip(edges, edges[1:]))
+
+
+def _binary(places: np.ndarray, data: bytes) -> pa.Array:
+    """The parts of `data` between places, as an Arrow array on the same memory."""
+    buffers = [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, buffers)
+
+
+def _parts(array: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """The places between the parts of a new binary array, and its bytes."""
+    _, places, data = array.buffers()
+    return np.frombuffer(places, np.int64, len(array) + 1), data
+
+
+def _word_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where words start in the UTF-8 of texts with these ends, by the rule of `_is_sync`.
+
+    A word is spaces with what is behind them, a line break, or the rest of a line without a space.
+    """
+    space, line = data == 32, data == 10
+    begins = space | line
+    begins[1:] &= ~(space[1:] & space[:-1])
+    begins[1:] |= line[:-1]
+    begins[ends[:-1][ends[:-1] < ends[1:]]] = True
+    return np.flatnonzero(begins)
 
 
 @functools.lru_cache(2)
@@ -467,8 +521,8 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text",
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [v.text(_marked(x.as_py() or "")) for x in batch.column("row").field(text)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), _ids_column(found)], names=["row", "ids"])
+            found = v.texts([_marked(x.as_py() or "") for x in batch.column("row").field(text)])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), found], names=["row", "ids"])
 
     own = F.col("row")[text]
     giant = F.coalesce(F.length(own) > chunk_chars, F.lit(False))
@@ -479,6 +533,25 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text",
     return short.unionByName(long)
 
 
+def _spelled(spelled: pa.Array, lists: pa.Array) -> list[str]:
+    """What lists of ids spell, without the space in front."""
+    flat = lists.flatten()
+    ids = flat.cast(pa.int64()).fill_null(-1).to_numpy()
+    odd = np.flatnonzero((ids < 0) | (ids >= len(spelled)))
+    if len(odd):
+        raise ValueError(f"no piece has the id {flat[int(odd[0])].as_py()}")
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out = []
+    for a, b in _runs(sizes):
+        own = ends[a : b + 1]
+        places, data = _parts(spelled.take(pa.array(ids[own[0] : own[-1]])))
+        data = memoryview(data or b"")
+        cuts = places[own - own[0]].tolist()
+        out.extend(str(data[c:d], "utf-8", "replace").removeprefix(" ") for c, d in zip(cuts, cuts[1:]))
+    return out
+
+
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """`encoded` (with `ids`) as a struct `row`, with `text`, what the ids spell.
 
@@ -486,18 +559,12 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     id outside the vocabulary, below 0 or null, raises a ValueError that names it.
     """
     small_batches(encoded.sparkSession)
-    spelled = load(path).spelled
+    spelled = pa.array(load(path).spelled, pa.large_binary())
     rows = encoded.select(F.struct("*").alias("row"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for ids in batch.column("row").field("ids"):
-                ids = ids.values.to_pylist() if ids.is_valid else []
-                if odd := [i for i in ids if i is None or not 0 <= i < len(spelled)]:
-                    raise ValueError(f"no piece has the id {odd[0]}")
-                whole = b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")
-                out.append(whole.removeprefix(" "))
+            out = _spelled(spelled, batch.column("row").field("ids"))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
 
     return rows.mapInArrow(spell, f"row {rows.schema['row'].dataType.simpleString()}, text string")

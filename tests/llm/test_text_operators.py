@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,42 @@ def test_encoding_is_the_librarys(library):
         assert ids_of(v.text(codec._marked(text))) == library.encode(text), text
 
 
+def test_batches_of_texts_give_the_librarys_ids(library, monkeypatch):
+    v = codec.load()
+    texts = ["", "", *odd_texts(), "", *odd_texts()[:5], ""]
+    for together in (1, 500, codec._TOGETHER):  # words never meet those of the next text
+        monkeypatch.setattr(codec, "_TOGETHER", together)
+        got = v.texts([codec._marked(t) for t in texts])
+        assert got.to_pylist() == library.encode(texts)
+    assert v.texts([]).to_pylist() == [] and v.texts(["", ""]).to_pylist() == [[], []]
+
+
+def test_each_different_word_is_encoded_once_a_batch(library, monkeypatch):
+    met = []
+    encode = codec.Vocabulary.long_word
+    monkeypatch.setattr(codec.Vocabulary, "long_word", lambda v, word: met.append(word) or encode(v, word))
+    monkeypatch.setattr(codec, "KNOWN_WORDS", 0)
+    v, text = codec.load.__wrapped__(), " ".join(["q" * 90, "heron", "rivers"] * 40)
+    assert ids_of(v.text(codec._marked(text))) == library.encode(text)
+    assert sorted(met) == sorted({" " + "q" * 90, " heron", " rivers"})
+
+
+def test_spelled_lists_are_those_of_single_pieces(library):
+    v = codec.load()
+    spelled = pa.array(v.spelled, pa.large_binary())
+    rng = random.Random(8)
+    rows = [[rng.randrange(len(v.spelled)) for _ in range(rng.randrange(40))] for _ in range(50)]
+    rows = [None, [], *rows, [v.byte_ids[0xC3]], [], None, *(library.encode(t) for t in odd_texts()), None]
+    want = [b"".join(v.spelled[i] for i in r or []).decode("utf-8", "replace").removeprefix(" ") for r in rows]
+    lists = pa.array(rows, pa.list_(pa.int32()))
+    assert codec._spelled(spelled, lists) == want
+    assert codec._spelled(spelled, lists[3:40]) == want[3:40]
+    assert codec._spelled(spelled, lists[:0]) == [] and codec._spelled(spelled, lists[:2]) == ["", ""]
+    for odd in (-1, None, len(v.spelled)):
+        with pytest.raises(ValueError, match=f"id {odd}"):
+            codec._spelled(spelled, pa.array([[1], None, [5, odd, -7]], pa.list_(pa.int64())))
+
+
 @pytest.mark.parametrize("size", [33, 50, 128])
 def test_scanned_chunks_give_the_same_encoding(library, size):
     v, over = codec.load(), codec.load().longest
